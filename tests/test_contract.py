@@ -1,0 +1,38 @@
+"""The driver contract in ``__spark_entry__.py``."""
+
+from __future__ import annotations
+
+from conftest import SF_ORACLE, duckdb_with_views
+
+import __spark_entry__ as contract
+
+EXPECTED_SCHEMA = [
+    ("l_returnflag", "string"),
+    ("l_linestatus", "string"),
+    ("sum_base_price", "decimal(22,2)"),
+    ("sum_disc_price", "decimal(28,4)"),
+    ("count_order", "bigint"),
+]
+
+
+def test_entry_runs_on_smoke_data_with_stable_schema(spark):
+    df = contract.entry(spark)
+    assert df.dtypes == EXPECTED_SCHEMA
+    rows = df.collect()
+    assert len(rows) == 6
+    # Second build gives the same schema and rows (no hidden state).
+    again = contract.entry(spark)
+    assert again.dtypes == EXPECTED_SCHEMA
+    assert again.collect() == rows
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_query_columns_match_oracle_columns(spark):
+    con = duckdb_with_views(SF_ORACLE)
+    for name, query in contract.queries().items():
+        spark_cols = query(spark, SF_ORACLE).columns
+        oracle_cols = [d[0] for d in con.execute(contract.oracle_sql()[name]).description]
+        assert spark_cols == oracle_cols, name

@@ -1,0 +1,56 @@
+"""Physical-plan shape of the flagship: pruning, pushdown, partial aggregation."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+from conftest import SF_SMALL
+
+from tillandsia.plans.pricing import pricing_summary
+
+READ_SCHEMA = (
+    "ReadSchema: struct<l_extendedprice:double,l_discount:double,"
+    "l_returnflag:string,l_linestatus:string,l_shipdate:timestamp_ntz>"
+)
+
+
+def explained(df, mode: str | None = None) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode) if mode else df.explain()
+    return out.getvalue()
+
+
+def test_scan_reads_only_used_columns_with_pushed_cutoff(spark):
+    plan = explained(pricing_summary(spark, SF_SMALL), "formatted")
+    assert READ_SCHEMA in plan
+    assert "LessThanOrEqual(l_shipdate,1998-09-02T00:00)" in plan
+
+
+def test_every_shuffle_follows_a_partial_aggregate(spark):
+    plan = explained(pricing_summary(spark, SF_SMALL), "formatted")
+    exchanges = re.findall(r"Arguments: (hashpartitioning|rangepartitioning|SinglePartition)", plan)
+    # level 1 (flag, status, discount), level 2 (flag, status), final sort
+    assert exchanges == ["hashpartitioning", "hashpartitioning", "rangepartitioning"]
+    partials = re.findall(r"Functions \[\d+\]: \[(partial_\w+)", plan)
+    assert len(partials) == 2
+
+
+def test_no_broadcast_join_or_python_in_plan(spark):
+    plan = explained(pricing_summary(spark, SF_SMALL), "formatted")
+    for marker in ("Broadcast", "Join", "Python", "ArrowEval", "BatchEval"):
+        assert marker not in plan
+
+
+def test_scan_filter_and_partial_aggregate_share_one_codegen_stage(spark):
+    df = pricing_summary(spark, SF_SMALL)
+    df.collect()
+    final = explained(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final
+    stage = re.search(r"\*\((\d+)\) HashAggregate\(keys=\[[^\]]*_groupingexpression[^\]]*\], functions=\[partial_sum", final)
+    assert stage, final
+    sid = stage.group(1)
+    assert f"*({sid}) Filter" in final
+    assert f"*({sid}) Project" in final
