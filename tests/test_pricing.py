@@ -142,10 +142,33 @@ def test_two_level_aggregation_is_exact_for_any_discounts(spark, rows):
     assert as_tuples(pricing_summary_of(df)) == brute_force(rows, "1998-09-02")
 
 
-def test_price_that_does_not_fit_fails_instead_of_dropping(spark):
-    """Under ANSI mode (Spark 4 default) an overflowing cast is an error, not a null."""
-    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
-    rows = [(1e11, 0.0, "A", "F", dt.datetime(1998, 1, 1))]
-    df = spark.createDataFrame(rows, LINEITEM_SCHEMA)
-    with pytest.raises(Exception, match="(?i)overflow|cannot be represented|NUMERIC_VALUE_OUT_OF_RANGE"):
-        pricing_summary_of(df).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "bad_row",
+    [
+        (1e11, 0.0, "A", "F", dt.datetime(1998, 1, 1)),  # price beyond decimal(12,2)
+        (10.0, 123.0, "A", "F", dt.datetime(1998, 1, 1)),  # discount beyond decimal(4,2)
+    ],
+)
+def test_value_that_does_not_fit_fails_instead_of_dropping(spark, ansi, bad_row):
+    """An overflowing cast must fail the query in either ANSI mode, not vanish as a null."""
+    good_row = (10.0, 0.05, "A", "F", dt.datetime(1998, 1, 1))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        df = pricing_summary_of(spark.createDataFrame([good_row, bad_row], LINEITEM_SCHEMA))
+        with pytest.raises(Exception, match="(?i)overflow|cannot be represented|out of range|OUT_OF_RANGE"):
+            df.collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_same_result_in_both_ansi_modes(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        got = as_tuples(pricing_summary(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == brute_force(lineitem_rows(SF_SMALL), "1998-09-02")

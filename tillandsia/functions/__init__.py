@@ -1,5 +1,19 @@
 """Column helpers built from ``pyspark.sql.functions`` (JVM-side, codegen'd)."""
 
-from tillandsia.functions.money import DISCOUNT_TYPE, PRICE_TYPE, to_discount, to_price
+from tillandsia.functions.money import (
+    DISCOUNT_TYPE,
+    PRICE_TYPE,
+    ansi_enabled,
+    exact_cast,
+    to_discount,
+    to_price,
+)
 
-__all__ = ["DISCOUNT_TYPE", "PRICE_TYPE", "to_discount", "to_price"]
+__all__ = [
+    "DISCOUNT_TYPE",
+    "PRICE_TYPE",
+    "ansi_enabled",
+    "exact_cast",
+    "to_discount",
+    "to_price",
+]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tillandsia.functions.money import to_discount, to_price
+from tillandsia.functions.money import ansi_enabled, to_discount, to_price
 from tillandsia.sources.tables import read_table
 
 # Default cutoff day and the result types stated on both the
@@ -65,12 +65,13 @@ def pricing_summary_of(lineitem: DataFrame, ship_cutoff: str = DEFAULT_SHIP_CUTO
     time zone plays no part.
     """
     cutoff = F.lit(f"{ship_cutoff} 00:00:00").cast("timestamp_ntz")
+    ansi = ansi_enabled(lineitem.sparkSession)
     keys = ("l_returnflag", "l_linestatus")
     by_discount = (
         lineitem.where(F.col("l_shipdate") <= cutoff)
-        .groupBy(*keys, to_discount("l_discount").alias("discount"))
+        .groupBy(*keys, to_discount("l_discount", ansi).alias("discount"))
         .agg(
-            F.sum(to_price("l_extendedprice")).alias("base_price"),
+            F.sum(to_price("l_extendedprice", ansi)).alias("base_price"),
             F.count(F.lit(1)).alias("n"),
         )
     )
