@@ -40,6 +40,12 @@ DEFAULT_SHIP_CUTOFF = "1998-09-02"
 SUM_BASE_PRICE_TYPE = DecimalType(22, 2)
 SUM_DISC_PRICE_TYPE = DecimalType(28, 4)
 
+# The lineitem columns (and their types in the driver's files) this plan reads.
+LINEITEM_COLUMNS = (
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, "
+    "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+)
+
 # The same query in ANSI SQL (runs on DuckDB and on Spark SQL); the driver's
 # correctness gate compares the DataFrame plan below against it.
 PRICING_SUMMARY_SQL = f"""
@@ -92,4 +98,5 @@ def pricing_summary(
     spark: SparkSession, sf_dir: str, ship_cutoff: str = DEFAULT_SHIP_CUTOFF
 ) -> DataFrame:
     """Pricing summary of the ``lineitem`` table under ``sf_dir``."""
-    return pricing_summary_of(read_table(spark, sf_dir, "lineitem"), ship_cutoff)
+    lineitem = read_table(spark, sf_dir, "lineitem", schema=LINEITEM_COLUMNS)
+    return pricing_summary_of(lineitem, ship_cutoff)

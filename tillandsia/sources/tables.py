@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # The table names the driver provides in every sf directory.
 TABLES = (
@@ -37,6 +38,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir.rstrip("/"), f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazily read table ``name`` from ``sf_dir``."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(
+    spark: SparkSession, sf_dir: str, name: str, schema: str | StructType | None = None
+) -> DataFrame:
+    """Lazily read table ``name`` from ``sf_dir``.
+
+    With ``schema`` (a DDL string or ``StructType``, possibly a subset of the
+    table's columns) Spark reads just those columns with those types and
+    skips the footer-reading job it would otherwise run to infer a schema;
+    a file whose types differ fails the scan instead of changing the plan.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(sf_dir, name))
