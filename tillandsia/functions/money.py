@@ -10,7 +10,7 @@ A value that does not fit the decimal type must fail the query, never turn
 into a null that the sum then skips. Under ANSI mode (the Spark 4 default)
 the cast itself raises; with ANSI off the helpers add an explicit check.
 The check is only added when needed because Spark evaluates the cast twice
-inside it (about 40% more scan-stage CPU, measured on 19.2M rows).
+inside it (+44% query time, measured on 19.2M rows).
 """
 
 from __future__ import annotations
