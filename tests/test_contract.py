@@ -36,3 +36,10 @@ def test_query_columns_match_oracle_columns(spark):
         spark_cols = query(spark, SF_ORACLE).columns
         oracle_cols = [d[0] for d in con.execute(contract.oracle_sql()[name]).description]
         assert spark_cols == oracle_cols, name
+
+
+def test_queries_accept_path_objects(spark):
+    import pathlib
+
+    for query in contract.queries().values():
+        assert query(spark, pathlib.Path(SF_ORACLE)).columns == [c for c, _ in EXPECTED_SCHEMA]

@@ -54,3 +54,14 @@ def test_scan_filter_and_partial_aggregate_share_one_codegen_stage(spark):
     sid = stage.group(1)
     assert f"*({sid}) Filter" in final
     assert f"*({sid}) Project" in final
+
+
+def test_building_the_query_runs_no_spark_job(spark):
+    """The declared read schema means no footer-reading job at build time."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "build the flagship without running it")
+    try:
+        pricing_summary(spark, SF_SMALL)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getJobIdsForGroup("build-only") == []

@@ -31,15 +31,18 @@ TABLES = (
 )
 
 
-def table_path(sf_dir: str, name: str) -> str:
+def table_path(sf_dir: str | os.PathLike[str], name: str) -> str:
     """Path of table ``name`` under ``sf_dir`` (``<sf_dir>/<name>.parquet``)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}; expected one of {TABLES}")
-    return os.path.join(sf_dir.rstrip("/"), f"{name}.parquet")
+    return os.path.join(os.fspath(sf_dir).rstrip("/"), f"{name}.parquet")
 
 
 def read_table(
-    spark: SparkSession, sf_dir: str, name: str, schema: str | StructType | None = None
+    spark: SparkSession,
+    sf_dir: str | os.PathLike[str],
+    name: str,
+    schema: str | StructType | None = None,
 ) -> DataFrame:
     """Lazily read table ``name`` from ``sf_dir``.
 
