@@ -1,23 +1,23 @@
-"""Column helpers built from ``pyspark.sql.functions`` (JVM-side, codegen'd)."""
+"""Spark SQL expression helpers (built-in functions only: JVM-side, codegen'd)."""
 
 from tillandsia.functions.money import (
     DISCOUNT_TYPE,
     MAX_SUMMED_ROWS,
     PRICE_TYPE,
-    cents_sum_parts,
-    cents_total,
-    exact_cast,
-    from_cents,
-    to_cents,
+    cents_sql,
+    cents_sum_parts_sql,
+    cents_total_sql,
+    exact_cast_sql,
+    from_cents_sql,
 )
 
 __all__ = [
     "DISCOUNT_TYPE",
     "MAX_SUMMED_ROWS",
     "PRICE_TYPE",
-    "cents_sum_parts",
-    "cents_total",
-    "exact_cast",
-    "from_cents",
-    "to_cents",
+    "cents_sql",
+    "cents_sum_parts_sql",
+    "cents_total_sql",
+    "exact_cast_sql",
+    "from_cents_sql",
 ]

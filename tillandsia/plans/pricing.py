@@ -18,8 +18,8 @@ Plan at scale (check with ``pricing_summary(...).explain("formatted")``):
   rounds, so ``sum(p * (1 - d)) = sum over d of (1 - d) * sum(p)`` holds
   exactly.
 - Per row, only double and ``bigint`` arithmetic: prices and discounts turn
-  into exact integer cents (``to_cents``), and level 1 sums price cents as
-  two ``bigint`` sums (``cents_sum_parts``) that cannot overflow below
+  into exact integer cents (``cents_sql``), and level 1 sums price cents as
+  two ``bigint`` sums (``cents_sum_parts_sql``) that cannot overflow below
   2**43 rows per group (larger groups raise). Decimals appear only per
   group. This halves the query time against per-row decimal casts and sums
   (0.76 s vs 1.50 s on 19.2M rows, local[8]).
@@ -29,22 +29,25 @@ Plan at scale (check with ``pricing_summary(...).explain("formatted")``):
   holding a third (or all) of the rows never concentrates raw rows in one
   task, and both shuffles carry rows in proportion to groups x map tasks.
   AQE coalesces the near-empty post-shuffle partitions.
-- No join, no broadcast, no Python in the plan.
+- No join, no broadcast, no Python in the plan. The plan is one Spark SQL
+  string over the input DataFrame, so building it costs one parse and one
+  analysis.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tillandsia.functions.money import (
     DISCOUNT_TYPE,
     PRICE_TYPE,
-    cents_sum_parts,
-    cents_total,
-    from_cents,
-    to_cents,
+    cents_sql,
+    cents_sum_parts_sql,
+    cents_total_sql,
+    from_cents_sql,
 )
 from tillandsia.sources.tables import read_table
 
@@ -80,6 +83,44 @@ ORDER BY l_returnflag, l_linestatus
 """.strip()
 
 
+def _plan_sql(ship_cutoff: str) -> str:
+    day = dt.date.fromisoformat(ship_cutoff)  # validated: no caller text reaches the SQL
+    price_hi, price_lo = cents_sum_parts_sql("price_cents")
+    total_cents = cents_total_sql("price_hi", "price_lo", "n")
+    return f"""
+WITH in_cents AS (
+    SELECT
+        l_returnflag,
+        l_linestatus,
+        {cents_sql("l_discount", DISCOUNT_TYPE)} AS discount_cents,
+        {cents_sql("l_extendedprice", PRICE_TYPE)} AS price_cents
+    FROM {{lineitem}}
+    WHERE l_shipdate <= TIMESTAMP_NTZ '{day.isoformat()} 00:00:00'
+),
+by_discount AS (
+    SELECT l_returnflag, l_linestatus, discount_cents,
+           {price_hi} AS price_hi, {price_lo} AS price_lo, COUNT(1) AS n
+    FROM in_cents
+    GROUP BY l_returnflag, l_linestatus, discount_cents
+),
+priced AS (
+    SELECT l_returnflag, l_linestatus, n,
+           {from_cents_sql(total_cents, LEVEL1_PRICE_TYPE)} AS base_price,
+           {from_cents_sql("discount_cents", DISCOUNT_TYPE)} AS discount
+    FROM by_discount
+)
+SELECT
+    l_returnflag,
+    l_linestatus,
+    CAST(SUM(base_price) AS {SUM_BASE_PRICE_TYPE.simpleString()}) AS sum_base_price,
+    CAST(SUM(base_price * (1 - discount)) AS {SUM_DISC_PRICE_TYPE.simpleString()}) AS sum_disc_price,
+    SUM(n) AS count_order
+FROM priced
+GROUP BY l_returnflag, l_linestatus
+ORDER BY l_returnflag, l_linestatus
+"""
+
+
 def pricing_summary_of(lineitem: DataFrame, ship_cutoff: str = DEFAULT_SHIP_CUTOFF) -> DataFrame:
     """Pricing summary of any DataFrame with the ``lineitem`` columns used.
 
@@ -87,36 +128,7 @@ def pricing_summary_of(lineitem: DataFrame, ship_cutoff: str = DEFAULT_SHIP_CUTO
     midnight are kept. The comparison is in ``timestamp_ntz``, so the session
     time zone plays no part.
     """
-    cutoff = F.lit(f"{ship_cutoff} 00:00:00").cast("timestamp_ntz")
-    keys = ("l_returnflag", "l_linestatus")
-    in_cents = lineitem.where(F.col("l_shipdate") <= cutoff).select(
-        *keys,
-        to_cents("l_discount", DISCOUNT_TYPE).alias("discount_cents"),
-        to_cents("l_extendedprice", PRICE_TYPE).alias("price_cents"),
-    )
-    price_hi, price_lo = cents_sum_parts(F.col("price_cents"))
-    by_discount = (
-        in_cents.groupBy(*keys, "discount_cents")
-        .agg(price_hi.alias("price_hi"), price_lo.alias("price_lo"), F.count(F.lit(1)).alias("n"))
-        .select(
-            *keys,
-            from_cents(cents_total(F.col("price_hi"), F.col("price_lo"), F.col("n")), LEVEL1_PRICE_TYPE)
-            .alias("base_price"),
-            from_cents("discount_cents", DISCOUNT_TYPE).alias("discount"),
-            "n",
-        )
-    )
-    return (
-        by_discount.groupBy(*keys)
-        .agg(
-            F.sum("base_price").cast(SUM_BASE_PRICE_TYPE).alias("sum_base_price"),
-            F.sum(F.col("base_price") * (F.lit(1) - F.col("discount")))
-            .cast(SUM_DISC_PRICE_TYPE)
-            .alias("sum_disc_price"),
-            F.sum("n").alias("count_order"),
-        )
-        .orderBy(*keys)
-    )
+    return lineitem.sparkSession.sql(_plan_sql(ship_cutoff), lineitem=lineitem)
 
 
 def pricing_summary(
