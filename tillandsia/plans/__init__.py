@@ -1,4 +1,4 @@
-"""Query plans expressed with the DataFrame API."""
+"""Query plans: Spark SQL over DataFrames, optimised by Catalyst."""
 
 from tillandsia.plans.pricing import PRICING_SUMMARY_SQL, pricing_summary
 
