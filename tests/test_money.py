@@ -1,0 +1,87 @@
+"""Row-level checks of the exact money helpers against Spark's own decimal cast."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tillandsia.functions.money import (
+    DISCOUNT_TYPE,
+    MAX_SUMMED_ROWS,
+    PRICE_TYPE,
+    cents_sql,
+    cents_sum_parts_sql,
+    cents_total_sql,
+    from_cents_sql,
+)
+
+
+def sample_doubles(limit: float, n: int, seed: int) -> np.ndarray:
+    """Finite doubles whose decimal(p,2) cast is in range, of several kinds."""
+    rng = np.random.default_rng(seed)
+    below = np.nextafter(limit - 0.005, 0.0)  # rounds (HALF_UP) to at most limit - 0.01
+    cents = rng.integers(-int(limit * 100) + 1, int(limit * 100), n)
+    kinds = [
+        rng.uniform(-below, below, n),  # arbitrary fractions
+        cents / 100.0,  # exact 2-decimal values
+        (cents + 0.5) / 100.0,  # half-cents, where HALF_UP decides
+        np.nextafter((cents + 0.5) / 100.0, np.inf),
+        np.nextafter((cents + 0.5) / 100.0, -np.inf),
+        np.nextafter(cents / 100.0, np.inf),  # next to the grid
+        np.nextafter(cents / 100.0, -np.inf),
+        rng.integers(0, 2**64, n, dtype=np.uint64).view(np.float64),  # random bit patterns
+    ]
+    x = np.concatenate(kinds)
+    x = x[np.isfinite(x) & (np.abs(x) <= below)]
+    return np.concatenate([x, [0.0, -0.0, 5e-324, -5e-324, below, -below]])
+
+
+@pytest.mark.parametrize("dtype, seed", [(PRICE_TYPE, 1), (DISCOUNT_TYPE, 2)])
+def test_cents_equal_the_decimal_cast_row_by_row(spark, dtype, seed):
+    limit = 10.0 ** (dtype.precision - 2)
+    values = sample_doubles(limit, 25_000, seed)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    t = dtype.simpleString()
+    mismatches = df.where(
+        f"NOT ({cents_sql('x', dtype)} <=> CAST(CAST(x AS {t}) * 100 AS BIGINT))"
+    ).count()
+    assert len(values) > 150_000
+    assert mismatches == 0
+
+
+@pytest.mark.parametrize("dtype", [PRICE_TYPE, DISCOUNT_TYPE])
+def test_cents_round_trip_through_from_cents(spark, dtype):
+    t = dtype.simpleString()
+    df = spark.createDataFrame([(v,) for v in (0.0, 0.01, -0.01, 12.34, -99.99, 0.125, 2.675)], "x double")
+    rows = df.selectExpr(f"{from_cents_sql(cents_sql('x', dtype), dtype)} AS a", f"CAST(x AS {t}) AS b").collect()
+    assert all(r.a == r.b for r in rows)
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cents=st.lists(st.integers(min_value=-(10**12) + 1, max_value=10**12 - 1), min_size=1, max_size=50))
+def test_split_sums_rebuild_the_exact_total(spark, cents):
+    hi, lo = cents_sum_parts_sql("c")
+    df = spark.createDataFrame([(c,) for c in cents], "c bigint")
+    total = df.selectExpr(f"{hi} AS price_hi", f"{lo} AS price_lo", "COUNT(1) AS n").selectExpr(
+        f"{cents_total_sql('price_hi', 'price_lo', 'n')} AS total"
+    )
+    assert total.first().total == sum(cents)
+
+
+def test_group_beyond_the_overflow_bound_raises(spark):
+    df = spark.createDataFrame([(1, 1, MAX_SUMMED_ROWS), (1, 1, MAX_SUMMED_ROWS + 1)], "hi bigint, lo bigint, n bigint")
+    ok = df.where(f"n = {MAX_SUMMED_ROWS}").selectExpr(f"{cents_total_sql('hi', 'lo', 'n')} AS t").first().t
+    assert ok == (1 << 20) + 1
+    with pytest.raises(Exception, match="cents sum could overflow"):
+        df.selectExpr(f"{cents_total_sql('hi', 'lo', 'n')} AS t").collect()
+
+
+def test_cents_sql_rejects_types_it_cannot_represent_exactly():
+    from pyspark.sql.types import DecimalType
+
+    with pytest.raises(ValueError):
+        cents_sql("x", DecimalType(12, 3))
+    with pytest.raises(ValueError):
+        cents_sql("x", DecimalType(16, 2))
