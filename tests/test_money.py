@@ -12,9 +12,9 @@ from tillandsia.functions.money import (
     MAX_SUMMED_ROWS,
     PRICE_TYPE,
     cents_sql,
-    cents_sum_parts_sql,
-    cents_total_sql,
-    from_cents_sql,
+    split_sum_sql,
+    split_total_sql,
+    unscaled_to_decimal_sql,
 )
 
 
@@ -52,36 +52,49 @@ def test_cents_equal_the_decimal_cast_row_by_row(spark, dtype, seed):
 
 
 @pytest.mark.parametrize("dtype", [PRICE_TYPE, DISCOUNT_TYPE])
-def test_cents_round_trip_through_from_cents(spark, dtype):
+def test_cents_round_trip_through_unscaled_to_decimal(spark, dtype):
     t = dtype.simpleString()
     df = spark.createDataFrame([(v,) for v in (0.0, 0.01, -0.01, 12.34, -99.99, 0.125, 2.675)], "x double")
-    rows = df.selectExpr(f"{from_cents_sql(cents_sql('x', dtype), dtype)} AS a", f"CAST(x AS {t}) AS b").collect()
+    rows = df.selectExpr(
+        f"{unscaled_to_decimal_sql(cents_sql('x', dtype), 2, dtype)} AS a", f"CAST(x AS {t}) AS b"
+    ).collect()
     assert all(r.a == r.b for r in rows)
 
 
 @settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(cents=st.lists(st.integers(min_value=-(10**12) + 1, max_value=10**12 - 1), min_size=1, max_size=50))
-def test_split_sums_rebuild_the_exact_total(spark, cents):
-    hi, lo = cents_sum_parts_sql("c")
-    df = spark.createDataFrame([(c,) for c in cents], "c bigint")
-    total = df.selectExpr(f"{hi} AS price_hi", f"{lo} AS price_lo", "COUNT(1) AS n").selectExpr(
-        f"{cents_total_sql('price_hi', 'price_lo', 'n')} AS total"
+@given(
+    bits=st.sampled_from([12, 20, 40, 54, 62]),
+    data=st.data(),
+)
+def test_split_sums_rebuild_the_exact_total(spark, bits, data):
+    bound = (1 << bits) - 1
+    values = data.draw(st.lists(st.integers(min_value=-bound, max_value=bound), min_size=1, max_size=50))
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    total = (
+        df.selectExpr(split_sum_sql("v", bits, "v"), "COUNT(1) AS n")
+        .selectExpr(f"{split_total_sql('v', bits, 'n')} AS total")
+        .first()
+        .total
     )
-    assert total.first().total == sum(cents)
+    assert total == sum(values)
 
 
 def test_group_beyond_the_overflow_bound_raises(spark):
-    df = spark.createDataFrame([(1, 1, MAX_SUMMED_ROWS), (1, 1, MAX_SUMMED_ROWS + 1)], "hi bigint, lo bigint, n bigint")
-    ok = df.where(f"n = {MAX_SUMMED_ROWS}").selectExpr(f"{cents_total_sql('hi', 'lo', 'n')} AS t").first().t
-    assert ok == (1 << 20) + 1
-    with pytest.raises(Exception, match="cents sum could overflow"):
-        df.selectExpr(f"{cents_total_sql('hi', 'lo', 'n')} AS t").collect()
+    df = spark.createDataFrame(
+        [(1, 1, MAX_SUMMED_ROWS), (1, 1, MAX_SUMMED_ROWS + 1)], "v_0 bigint, v_1 bigint, n bigint"
+    )
+    ok = df.where(f"n = {MAX_SUMMED_ROWS}").selectExpr(f"{split_total_sql('v', 40, 'n')} AS t").first().t
+    assert ok == 1 + (1 << 20)
+    with pytest.raises(Exception, match="split sum could overflow"):
+        df.selectExpr(f"{split_total_sql('v', 40, 'n')} AS t").collect()
 
 
-def test_cents_sql_rejects_types_it_cannot_represent_exactly():
+def test_helpers_reject_bounds_they_cannot_handle_exactly():
     from pyspark.sql.types import DecimalType
 
     with pytest.raises(ValueError):
         cents_sql("x", DecimalType(12, 3))
     with pytest.raises(ValueError):
         cents_sql("x", DecimalType(16, 2))
+    with pytest.raises(ValueError):
+        split_sum_sql("v", 63, "v")

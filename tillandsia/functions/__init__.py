@@ -5,10 +5,10 @@ from tillandsia.functions.money import (
     MAX_SUMMED_ROWS,
     PRICE_TYPE,
     cents_sql,
-    cents_sum_parts_sql,
-    cents_total_sql,
     exact_cast_sql,
-    from_cents_sql,
+    split_sum_sql,
+    split_total_sql,
+    unscaled_to_decimal_sql,
 )
 
 __all__ = [
@@ -16,8 +16,8 @@ __all__ = [
     "MAX_SUMMED_ROWS",
     "PRICE_TYPE",
     "cents_sql",
-    "cents_sum_parts_sql",
-    "cents_total_sql",
     "exact_cast_sql",
-    "from_cents_sql",
+    "split_sum_sql",
+    "split_total_sql",
+    "unscaled_to_decimal_sql",
 ]

@@ -17,8 +17,9 @@ buffers wider than 18 digits (which Spark keeps as variable-length byte
 arrays, not longs), made the exact query 2.5x slower than summing doubles
 (measured on 19.2M rows). ``cents_sql`` gives the same values as
 ``cast(x AS decimal(p,2))`` as integer cents using double arithmetic for
-ordinary values, and ``cents_sum_parts_sql`` sums the cents exactly in two
-``bigint`` sums.
+ordinary values; products of cents stay exact ``bigint`` values; and
+``split_sum_sql`` sums such values exactly as a few ``bigint`` sums of
+20-bit parts, rebuilt once per group by ``split_total_sql``.
 
 The helpers return Spark SQL expression text, to be placed in a query
 given to ``spark.sql``: one SQL string is parsed and analysed once, while
@@ -29,6 +30,8 @@ column arguments are trusted identifiers or expressions, never user data.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql.types import DecimalType
 
 # The decimal types prices and discounts are cast to before
@@ -77,29 +80,50 @@ def cents_sql(expr: str, dtype: DecimalType) -> str:
     )
 
 
-def from_cents_sql(expr: str, dtype: DecimalType) -> str:
-    """Integer cents (any integral or scale-0 decimal expression) as ``dtype``."""
-    return f"CAST(CAST({expr} AS DECIMAL(38, 0)) * 0.01BD AS {dtype.simpleString()})"
+def unscaled_to_decimal_sql(expr: str, scale: int, dtype: DecimalType) -> str:
+    """An exact integer count of ``10**-scale`` units (e.g. cents: scale 2) as ``dtype``."""
+    unit = Decimal(1).scaleb(-scale)
+    return f"CAST(CAST({expr} AS DECIMAL(38, 0)) * {unit}BD AS {dtype.simpleString()})"
 
 
-# Cents are summed as a high part (cents >> 20) and a low part
-# (cents & 0xFFFFF). For |cents| < 2**40 (any decimal(p<=12, 2)) both parts
-# are below 2**20 in absolute value, so neither bigint sum can overflow over
-# up to 2**43 rows; cents_total_sql refuses groups with more rows than that.
-CENT_SPLIT_BITS = 20
+# A bigint v with |v| < 2**value_bits is summed as parts of 20
+# bits: v & 0xFFFFF, (v >> 20) & 0xFFFFF, ..., and a signed top part v >> 20k.
+# Every part is below 2**20 in absolute value, so no part's bigint sum can
+# overflow over up to 2**43 rows; split_total_sql refuses groups with more.
+SPLIT_BITS = 20
 MAX_SUMMED_ROWS = 1 << 43
 
 
-def cents_sum_parts_sql(cents: str) -> tuple[str, str]:
-    """Aggregate expressions (high-part sum, low-part sum) of ``cents_sql`` output."""
-    low_mask = (1 << CENT_SPLIT_BITS) - 1
-    return f"SUM(shiftright({cents}, {CENT_SPLIT_BITS}))", f"SUM({cents} & {low_mask})"
+def _split_count(value_bits: int) -> int:
+    if not 0 < value_bits <= 62:
+        raise ValueError(f"value_bits must be in 1..62, got {value_bits}")
+    return max(1, -(-value_bits // SPLIT_BITS))
+
 
+def split_sum_sql(expr: str, value_bits: int, name: str) -> str:
+    """Aggregate select items ``name_0, name_1, ...`` that rebuild ``SUM(expr)`` exactly.
 
-def cents_total_sql(hi: str, lo: str, rows: str) -> str:
-    """Exact cents total from ``cents_sum_parts_sql`` over ``rows`` rows, as ``DECIMAL(38,0)``."""
+    ``expr`` is a BIGINT expression with ``|expr| < 2**value_bits``.
+    """
+    k = _split_count(value_bits)
+    mask = (1 << SPLIT_BITS) - 1
+    items = []
+    for i in range(k):
+        part = expr if i == 0 else f"shiftright({expr}, {SPLIT_BITS * i})"
+        if i < k - 1:
+            part = f"({part}) & {mask}"
+        items.append(f"SUM({part}) AS {name}_{i}")
+    return ", ".join(items)
+
+
+def split_total_sql(name: str, value_bits: int, rows: str) -> str:
+    """The exact total (``DECIMAL(38,0)``) from ``split_sum_sql`` items over ``rows`` rows."""
+    k = _split_count(value_bits)
+    total = " + ".join(
+        f"CAST({name}_{i} AS DECIMAL(38, 0)) * {1 << (SPLIT_BITS * i)}" for i in range(k)
+    )
     return (
         f"CASE WHEN {rows} > {MAX_SUMMED_ROWS} "
-        f"THEN raise_error('more than {MAX_SUMMED_ROWS} rows in one group: cents sum could overflow') "
-        f"ELSE CAST({hi} AS DECIMAL(38, 0)) * {1 << CENT_SPLIT_BITS} + CAST({lo} AS DECIMAL(38, 0)) END"
+        f"THEN raise_error('more than {MAX_SUMMED_ROWS} rows in one group: split sum could overflow') "
+        f"ELSE {total} END"
     )
