@@ -71,7 +71,7 @@ def test_split_sums_rebuild_the_exact_total(spark, bits, data):
     values = data.draw(st.lists(st.integers(min_value=-bound, max_value=bound), min_size=1, max_size=50))
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     total = (
-        df.selectExpr(split_sum_sql("v", bits, "v"), "COUNT(1) AS n")
+        df.selectExpr(*split_sum_sql("v", bits, "v"), "COUNT(1) AS n")
         .selectExpr(f"{split_total_sql('v', bits, 'n')} AS total")
         .first()
         .total

@@ -100,10 +100,11 @@ def _split_count(value_bits: int) -> int:
     return max(1, -(-value_bits // SPLIT_BITS))
 
 
-def split_sum_sql(expr: str, value_bits: int, name: str) -> str:
-    """Aggregate select items ``name_0, name_1, ...`` that rebuild ``SUM(expr)`` exactly.
+def split_sum_sql(expr: str, value_bits: int, name: str) -> list[str]:
+    """Aggregate select items ``name_0``, ``name_1``, ... that rebuild ``SUM(expr)`` exactly.
 
-    ``expr`` is a BIGINT expression with ``|expr| < 2**value_bits``.
+    ``expr`` is a BIGINT expression with ``|expr| < 2**value_bits``. The items
+    go to ``selectExpr(*items)``, or joined with ``", "`` into a SQL query.
     """
     k = _split_count(value_bits)
     mask = (1 << SPLIT_BITS) - 1
@@ -113,7 +114,7 @@ def split_sum_sql(expr: str, value_bits: int, name: str) -> str:
         if i < k - 1:
             part = f"({part}) & {mask}"
         items.append(f"SUM({part}) AS {name}_{i}")
-    return ", ".join(items)
+    return items
 
 
 def split_total_sql(name: str, value_bits: int, rows: str) -> str:

@@ -84,6 +84,8 @@ def _plan_sql(ship_cutoff: str) -> str:
     day = dt.date.fromisoformat(ship_cutoff)  # validated: no caller text reaches the SQL
     base_total = split_total_sql("base", PRICE_CENTS_BITS, "n")
     net_total = split_total_sql("net", NET_UNITS_BITS, "n")
+    base_sums = ", ".join(split_sum_sql("price_cents", PRICE_CENTS_BITS, "base"))
+    net_sums = ", ".join(split_sum_sql("net_units", NET_UNITS_BITS, "net"))
     return f"""
 WITH in_cents AS (
     SELECT
@@ -102,8 +104,8 @@ netted AS (
 ),
 sums AS (
     SELECT l_returnflag, l_linestatus,
-           {split_sum_sql("price_cents", PRICE_CENTS_BITS, "base")},
-           {split_sum_sql("net_units", NET_UNITS_BITS, "net")},
+           {base_sums},
+           {net_sums},
            COUNT(1) AS n
     FROM netted
     GROUP BY l_returnflag, l_linestatus
