@@ -137,7 +137,7 @@ row_strategy = st.tuples(
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )
 @given(rows=st.lists(row_strategy, min_size=0, max_size=60))
-def test_two_level_aggregation_is_exact_for_any_discounts(spark, rows):
+def test_aggregation_is_exact_for_any_prices_and_discounts(spark, rows):
     df = spark.createDataFrame(rows, LINEITEM_SCHEMA)
     assert as_tuples(pricing_summary_of(df)) == brute_force(rows, "1998-09-02")
 
