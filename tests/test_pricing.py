@@ -254,3 +254,12 @@ def test_values_without_a_decimal_value_fail_the_query(spark, ansi, value, colum
             pricing_summary_of(df).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_group_with_only_null_values_gives_null_sums_like_sql(spark):
+    day = dt.datetime(1998, 1, 1)
+    rows = [(None, None, "A", "F", day), (None, 0.05, "A", "F", day), (5.0, None, "N", "O", day)]
+    df = spark.createDataFrame(rows, LINEITEM_SCHEMA)
+    got = as_tuples(pricing_summary_of(df))
+    assert got == plain_cast_result(spark, df)
+    assert got == [("A", "F", None, None, 2), ("N", "O", Decimal("5.00"), None, 1)]
