@@ -17,9 +17,10 @@ buffers wider than 18 digits (which Spark keeps as variable-length byte
 arrays, not longs), made the exact query about 3x slower than summing
 doubles (2.9x and 3.5x on 19.2M rows, measured in two sessions).
 ``cents_sql`` gives the same values as ``cast(x AS decimal(p,2))`` as
-integer cents using double arithmetic for ordinary values; products of cents stay exact ``bigint`` values; and
-``split_sum_sql`` sums such values exactly as a few ``bigint`` sums of
-20-bit parts, rebuilt once per group by ``split_total_sql``.
+integer cents using double arithmetic for ordinary values; products of
+cents stay exact ``bigint`` values; and ``split_sum_sql`` sums such values
+exactly as a few ``bigint`` sums of 20-bit parts, rebuilt once per group
+by ``split_total_sql``.
 
 The helpers return Spark SQL expression text, to be placed in a query
 given to ``spark.sql``: one SQL string is parsed and analysed once, while
