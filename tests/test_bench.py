@@ -27,5 +27,7 @@ def test_bench_prints_one_json_line():
     result = json.loads(lines[0])
     assert result["unit"] == "sec"
     assert result["sf"] == 0.001
-    assert set(result["queries"]) == set(contract.queries())
+    assert set(result["queries"]) == set(contract.queries()) == set(result["cold"])
+    assert all(seconds > 0 for seconds in result["cold"].values())
+    assert result["shuffle_partitions"] == 200  # the default users get
     assert result["value"] == round(sum(result["queries"].values()), 4)

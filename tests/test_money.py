@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+from decimal import Context, Decimal
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pyspark.sql.types import DecimalType
 
 from tillandsia.functions.money import (
     DISCOUNT_TYPE,
     MAX_SUMMED_ROWS,
     PRICE_TYPE,
+    SPLIT_BITS,
     cents_sql,
     split_sum_sql,
     split_total_sql,
     unscaled_to_decimal_sql,
 )
+from tillandsia.plans.pricing import SUM_BASE_PRICE_TYPE, SUM_DISC_PRICE_TYPE
 
 
 def sample_doubles(limit: float, n: int, seed: int) -> np.ndarray:
@@ -82,16 +89,39 @@ def test_split_sums_rebuild_the_exact_total(spark, bits, data):
 def test_group_beyond_the_overflow_bound_raises(spark):
     df = spark.createDataFrame(
         [(1, 1, MAX_SUMMED_ROWS), (1, 1, MAX_SUMMED_ROWS + 1)], "v_0 bigint, v_1 bigint, n bigint"
-    )
+    ).withColumn("v_2", F.lit(0).cast("bigint"))
     ok = df.where(f"n = {MAX_SUMMED_ROWS}").selectExpr(f"{split_total_sql('v', 40, 'n')} AS t").first().t
-    assert ok == 1 + (1 << 20)
+    assert ok == 1 + (1 << SPLIT_BITS)
     with pytest.raises(Exception, match="split sum could overflow"):
         df.selectExpr(f"{split_total_sql('v', 40, 'n')} AS t").collect()
 
 
-def test_helpers_reject_bounds_they_cannot_handle_exactly():
-    from pyspark.sql.types import DecimalType
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_largest_totals_are_exact_and_larger_ones_raise(spark, ansi):
+    """Totals above 10**20, up to what 2**49 rows of the largest values can reach."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        for bits, scale, dtype in ((40, 2, SUM_BASE_PRICE_TYPE), (54, 4, SUM_DISC_PRICE_TYPE)):
+            parts = -(-bits // SPLIT_BITS)
+            value = (1 << bits) - 1
+            sums = [
+                (value >> SPLIT_BITS * i & (1 << SPLIT_BITS) - 1) * MAX_SUMMED_ROWS for i in range(parts)
+            ]
+            names = ", ".join(f"v_{i} bigint" for i in range(parts))
+            df = spark.createDataFrame([(*sums, MAX_SUMMED_ROWS)], f"{names}, n bigint")
+            total = unscaled_to_decimal_sql(split_total_sql("v", bits, "n"), scale, dtype)
+            exact = Decimal(value * MAX_SUMMED_ROWS).scaleb(-scale, Context(prec=60))
+            assert exact > 10**20
+            assert df.selectExpr(f"{total} AS t").first().t == exact
+        small = unscaled_to_decimal_sql("x", 2, DecimalType(22, 2))
+        with pytest.raises(Exception, match="(?i)no decimal|overflow|OUT_OF_RANGE"):
+            spark.sql(f"SELECT {small} AS t FROM VALUES (CAST('1{'0' * 23}' AS DECIMAL(38, 0))) AS v(x)").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
 
+def test_helpers_reject_bounds_they_cannot_handle_exactly():
     with pytest.raises(ValueError):
         cents_sql("x", DecimalType(12, 3))
     with pytest.raises(ValueError):

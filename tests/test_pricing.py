@@ -6,11 +6,14 @@ import datetime as dt
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
+import duckdb
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest import SF_ORACLE, SF_SMALL, duckdb_with_views
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillandsia.plans.pricing import PRICING_SUMMARY_SQL, pricing_summary, pricing_summary_of
@@ -36,10 +39,10 @@ def to_cents(x: float) -> Decimal:
 
 def brute_force(rows, cutoff: str) -> list[tuple]:
     """Row-by-row pricing summary in Python decimals: the independent oracle."""
-    limit = dt.datetime.fromisoformat(cutoff)
+    limit = dt.datetime.fromisoformat(cutoff) + dt.timedelta(days=1)
     acc = defaultdict(lambda: [Decimal(0), Decimal(0), 0])
     for price, discount, flag, status, shipdate in rows:
-        if shipdate <= limit:
+        if shipdate < limit:
             p, d = to_cents(price), to_cents(discount)
             a = acc[(flag, status)]
             a[0] += p
@@ -82,17 +85,36 @@ def test_matches_brute_force_on_whole_table(spark, cutoff):
     assert got == brute_force(rows, cutoff)
 
 
-def test_cutoff_day_is_inclusive(spark):
+def test_whole_cutoff_day_is_included(spark):
     day = dt.datetime(1998, 9, 2)
     rows = [
         (10.0, 0.0, "A", "F", day),
-        (20.0, 0.0, "A", "F", day + dt.timedelta(microseconds=1)),
-        (40.0, 0.0, "A", "F", day - dt.timedelta(microseconds=1)),
+        (20.0, 0.0, "A", "F", day + dt.timedelta(hours=12)),
+        (40.0, 0.0, "A", "F", day + dt.timedelta(days=1, microseconds=-1)),
+        (80.0, 0.0, "A", "F", day + dt.timedelta(days=1)),
     ]
     df = spark.createDataFrame(rows, LINEITEM_SCHEMA)
-    assert as_tuples(pricing_summary_of(df)) == [
-        ("A", "F", Decimal("50.00"), Decimal("50.0000"), 2)
-    ]
+    want = [("A", "F", Decimal("70.00"), Decimal("70.0000"), 3)]
+    assert as_tuples(pricing_summary_of(df)) == want == brute_force(rows, "1998-09-02")
+    df.createOrReplaceTempView("lineitem")
+    assert as_tuples(spark.sql(PRICING_SUMMARY_SQL)) == want
+    con = duckdb.connect()
+    con.register("lineitem", pa.Table.from_pylist([dict(zip(COLUMNS, r)) for r in rows]))
+    assert con.execute(PRICING_SUMMARY_SQL).fetchall() == want
+
+
+def test_ship_dates_of_type_date_are_accepted(spark):
+    rows = [(10.0, 0.0, "A", "F", dt.date(1998, 9, d)) for d in (1, 2, 3)]
+    schema = T.StructType([*LINEITEM_SCHEMA.fields[:4], T.StructField("l_shipdate", T.DateType())])
+    got = as_tuples(pricing_summary_of(spark.createDataFrame(rows, schema)))
+    assert got == [("A", "F", Decimal("20.00"), Decimal("20.0000"), 2)]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "string", "bigint"])
+def test_ship_dates_of_other_types_are_refused(spark, kind):
+    df = spark.createDataFrame([], LINEITEM_SCHEMA).withColumn("l_shipdate", F.lit(None).cast(kind))
+    with pytest.raises(TypeError, match="timestamp_ntz or date"):
+        pricing_summary_of(df)
 
 
 @pytest.mark.parametrize("tz", ["UTC", "America/Los_Angeles", "Asia/Kolkata", "Pacific/Kiritimati"])

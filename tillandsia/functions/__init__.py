@@ -1,23 +1 @@
 """Spark SQL expression helpers (built-in functions only: JVM-side, codegen'd)."""
-
-from tillandsia.functions.money import (
-    DISCOUNT_TYPE,
-    MAX_SUMMED_ROWS,
-    PRICE_TYPE,
-    cents_sql,
-    exact_cast_sql,
-    split_sum_sql,
-    split_total_sql,
-    unscaled_to_decimal_sql,
-)
-
-__all__ = [
-    "DISCOUNT_TYPE",
-    "MAX_SUMMED_ROWS",
-    "PRICE_TYPE",
-    "cents_sql",
-    "exact_cast_sql",
-    "split_sum_sql",
-    "split_total_sql",
-    "unscaled_to_decimal_sql",
-]

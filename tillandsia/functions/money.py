@@ -19,7 +19,7 @@ doubles (2.9x and 3.5x on 19.2M rows, measured in two sessions).
 ``cents_sql`` gives the same values as ``cast(x AS decimal(p,2))`` as
 integer cents using double arithmetic for ordinary values; products of
 cents stay exact ``bigint`` values; and ``split_sum_sql`` sums such values
-exactly as a few ``bigint`` sums of 20-bit parts, rebuilt once per group
+exactly as a few ``bigint`` sums of 14-bit parts, rebuilt once per group
 by ``split_total_sql``.
 
 The helpers return Spark SQL expression text, to be placed in a query
@@ -82,17 +82,20 @@ def cents_sql(expr: str, dtype: DecimalType) -> str:
 
 
 def unscaled_to_decimal_sql(expr: str, scale: int, dtype: DecimalType) -> str:
-    """An exact integer count of ``10**-scale`` units (e.g. cents: scale 2) as ``dtype``."""
+    """An exact integer count of ``10**-scale`` units (e.g. cents: scale 2) as ``dtype``.
+
+    A count that does not fit ``dtype`` raises, in either ANSI mode.
+    """
     unit = Decimal(1).scaleb(-scale)
-    return f"CAST(CAST({expr} AS DECIMAL(38, 0)) * {unit}BD AS {dtype.simpleString()})"
+    return exact_cast_sql(f"CAST({expr} AS DECIMAL(38, 0)) * {unit}BD", dtype)
 
 
-# A bigint v with |v| < 2**value_bits is summed as parts of 20
-# bits: v & 0xFFFFF, (v >> 20) & 0xFFFFF, ..., and a signed top part v >> 20k.
-# Every part is below 2**20 in absolute value, so no part's bigint sum can
-# overflow over up to 2**43 rows; split_total_sql refuses groups with more.
-SPLIT_BITS = 20
-MAX_SUMMED_ROWS = 1 << 43
+# A bigint v with |v| < 2**value_bits is summed as parts of 14
+# bits: v & 0x3FFF, (v >> 14) & 0x3FFF, ..., and a signed top part v >> 14k.
+# Every part is below 2**14 in absolute value, so no part's bigint sum can
+# overflow over up to 2**49 rows; split_total_sql refuses groups with more.
+SPLIT_BITS = 14
+MAX_SUMMED_ROWS = 1 << 49
 
 
 def _split_count(value_bits: int) -> int:

@@ -1,5 +1 @@
 """Query plans: Spark SQL over DataFrames, optimised by Catalyst."""
-
-from tillandsia.plans.pricing import PRICING_SUMMARY_SQL, pricing_summary
-
-__all__ = ["PRICING_SUMMARY_SQL", "pricing_summary"]

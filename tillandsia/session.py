@@ -28,17 +28,10 @@ SCALE_DEFAULTS: dict[str, str] = {
 
 
 def apply_defaults(spark: SparkSession, defaults: Mapping[str, str] = SCALE_DEFAULTS) -> None:
-    """Set each runtime SQL conf in ``defaults`` that was not set explicitly.
-
-    A Spark Connect session has no local SparkContext to tell explicit
-    settings apart; there the server's configuration is left as it is.
-    """
-    try:
-        explicit = spark.sparkContext.getConf()
-    except Exception:  # Spark Connect raises on sparkContext access
-        return
+    """Set each runtime SQL conf in ``defaults`` that nobody set, on the session or its context."""
+    explicit = spark.conf.getAll
     for key, value in defaults.items():
-        if not explicit.contains(key):
+        if key not in explicit:
             spark.conf.set(key, value)
 
 

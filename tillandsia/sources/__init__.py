@@ -1,5 +1 @@
 """Readers for the driver's Parquet tables."""
-
-from tillandsia.sources.tables import TABLES, read_table, table_path
-
-__all__ = ["TABLES", "read_table", "table_path"]
