@@ -1,0 +1,46 @@
+"""Rows and fixtures for the operators' tests; test files import what they use."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+#: Columns whose names the operators use themselves.
+CLASHING = ("kept", "component_id", "shard", "rank", "key", "cid", "text_hash", "ids", "score", "length", "n", "v")
+
+
+def prose(rng: random.Random, words: int) -> str:
+    return " ".join("".join(rng.choices("abcdeo", k=rng.randint(1, 8))) for _ in range(words))
+
+
+def tricky_texts() -> list[tuple[int | None, str | None]]:
+    """Nulls, empty and very long texts, ties, repeated rows, exact and near copies, control strings."""
+    rng = random.Random(5)
+    base = [prose(rng, n) for n in (1, 2, 3, 4, 5, 30, 60, 90, 200)]
+    rows = list(enumerate(base))
+    rows += [(20, None), (21, ""), (22, " \n\t"), (23, "x" * 30_000), (24, prose(rng, 30_000))]
+    rows += [(30 + i, base[7]) for i in range(12)] + [(None, base[7]), (None, base[5]), (None, None)]
+    rows += [(50, base[8].upper()), (51, "É" + base[6]), (52, "é" + base[6])]
+    near = base[8].split()
+    for i in range(10):
+        words = list(near)
+        words[7 * i + 3] = f"w{i}"
+        rows.append((60 + i, " ".join(words)))
+    rows += [(80, base[5]), (80, base[5]), (80, base[6]), (81, "<|endoftext|> a<|endoftext|>b '<|endo"), (82, "\x00\x1c\x85 tail  ")]
+    rows += [(90, "aa " * 500), (91, "</s>[INST] ok [/INST]"), (92, "漢字🙂" * 50)]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def tricky(spark):
+    df = spark.createDataFrame(tricky_texts(), "doc_id bigint, text string").repartition(5)
+    for name in CLASHING:
+        df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string")

@@ -1,0 +1,139 @@
+"""Sharding and chat formatting."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from conftest import SF_ORACLE
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from llm_fixtures import nothing, tricky  # noqa: F401
+from pyspark.sql import functions as F
+
+from tillandsia.llm.chat_format import CONTROL, chat_examples, escaped, loss_text, parsed_turns, unescaped
+from tillandsia.llm.queries import op3_sharding, op6_chat_format
+from tillandsia.llm.sharding import shard_documents
+
+
+def check_shards(out, rows, n_shards):
+    """The law holds and sizes and digests are right; returns the shards of each text."""
+    assert all(r.law == "rows" and r.grown_shard is None for r in out)
+    slots = defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+    counts = [len(slots.get(s, [])) for s in range(n_shards)]
+    assert max(counts) - min(counts) <= 1 and set(slots) <= set(range(n_shards))
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    want = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
+    groups = defaultdict(Counter)
+    for r in out:
+        groups[(r.size, r.text_crc32)][r.shard] += 1
+    return groups
+
+
+def test_shards_of_the_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").collect()]
+    groups = check_shards(op3_sharding(spark, SF_ORACLE).collect(), rows, 40)
+    linked = [g for g in groups.values() if sum(g.values()) > 1]
+    assert sum(len(g) > 1 for g in linked) < 0.05 * len(linked)
+
+
+@pytest.mark.parametrize("n_shards", [1, 4, 7, 200])
+def test_shards_of_tricky_rows(tricky, nothing, n_shards):
+    rows = [(r.doc_id, r.text) for r in tricky.collect()]
+    check_shards(shard_documents(tricky, n_shards).collect(), rows, n_shards)
+    assert shard_documents(nothing, n_shards).count() == 0
+
+
+def test_a_group_with_a_third_of_all_rows_fills_few_shards(spark):
+    rng = random.Random(3)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{rng.randrange(900)}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    groups = check_shards(shard_documents(docs, 10).collect(), rows, 10)
+    hot = groups[(19, zlib.crc32(b"hot"))]
+    assert sum(hot.values()) == 1000 and len(hot) <= 5
+    cut = sum(sum(g.values()) - max(g.values()) for key, g in groups.items() if key[1] != zlib.crc32(b"hot"))
+    assert cut < 200
+
+
+# chat
+
+CHAT = "conv_id bigint, turn bigint, role string, text string"
+
+
+def truth(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, ts in turns.items():
+        ts.sort()
+        loss = "".join(t for _, _, r, t in ts if r == "assistant")
+        whole = "".join(f"{r}\n{t}\n" for _, _, r, t in ts)
+        out[conv] = (len(ts), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def test_chat_query_on_the_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_ORACLE}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    control = "</s>[INST] ok [/INST]"
+    rows += [(-1, 0, "user", control), (-1, 1, "assistant", control)]
+    got = op6_chat_format(spark, SF_ORACLE).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in got} == truth(rows) and len(got) == len(truth(rows))
+
+
+def tricky_chat():
+    hard = "".join(CONTROL) + "\\<s>[\\INST]<\\\\/s>[[INST]<<s>[/\\INST]\\n\r\n\x00é🙂"
+    rows = [(1, 2, "assistant", "late"), (1, 0, "user", hard), (1, 1, "assistant", hard), (1, 2, "assistant", "late")]
+    rows += [(2, 0, "user", "no answer"), (3, 0, "assistant", "first"), (3, 1, "user", None), (3, 2, None, "x")]
+    rows += [(4, 0, "system", ""), (4, 1, "assistant", None), (5, 0, "[/INST]</s>", "odd role"), (5, 1, "tool\n", "</s>")]
+    rows += [(None, 0, "user", "q"), (None, 1, "assistant", "a"), (6, None, "user", "before"), (6, 0, "assistant", "é" * 40_000)]
+    rows += [(7, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(60)]
+    return rows
+
+
+def read_back(examples):
+    back = examples.groupBy("conv_id").agg(
+        F.max_by("formatted", "example").alias("whole"),
+        F.array_sort(F.collect_list(F.struct("example", loss_text(F.col("formatted"), F.col("loss_start"), F.col("loss_chars")).alias("t")))).alias("l"),
+    )
+    out = {}
+    for r in back.select("conv_id", parsed_turns(F.col("whole")).alias("turns"), "l").collect():
+        whole = "".join(f"{t.role}\n{t.text}\n" for t in r.turns)
+        loss = "".join(x.t for x in r.l)
+        out[r.conv_id] = (len(r.turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def test_tricky_conversations_read_back(spark):
+    rows = tricky_chat()
+    df = spark.createDataFrame(rows, CHAT).repartition(3)
+    for name in ("turns", "target", "pieces", "example", "formatted"):
+        df = df.withColumn(name, F.lit("clash"))
+    assert read_back(chat_examples(df)) == truth(rows)
+    assert chat_examples(df.where("turn > 999")).count() == 0
+
+
+def test_each_example_trains_one_reply_after_its_whole_context(spark):
+    df = spark.createDataFrame([(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(5)], CHAT)
+    got = [tuple(r)[1:] for r in chat_examples(df).orderBy("example").collect()]
+    turn = lambda i: f"<s>[INST]{'assistant' if i % 2 else 'user'}[/INST]t{i}</s>"
+    for example, end in enumerate((2, 4)):
+        text, start = got[example][1], got[example][2]
+        assert text == "".join(turn(i) for i in range(end))
+        assert text[start : start + got[example][3]] == f"t{end - 1}"
+    assert got[2][1:] == ("".join(turn(i) for i in range(5)), 0, 0) and len(got) == 3
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=st.sampled_from("<>/s[]INT\\a\n")), min_size=1, max_size=30))
+def test_escaping_is_reversible_and_hides_control_strings(spark, texts):
+    texts = texts + ["<s>", "<\\s>", "<\\\\s>", "[/INST]", "[\\/INST]", "\\[INST]"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", escaped(F.col("t")).alias("e"), unescaped(escaped(F.col("t"))).alias("u")).collect():
+        assert r.u == r.t and not any(c in r.e for c in CONTROL)

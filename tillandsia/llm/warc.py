@@ -192,6 +192,14 @@ def _magic(window: _Window, at: int, end: int) -> int | None:
     return None
 
 
+def _begins_record(piece: memoryview) -> bool:
+    """Whether what can be inflated of a damaged member starts like a record."""
+    try:
+        return zlib.decompressobj(31).decompress(piece, 7) == b"WARC/1."
+    except zlib.error:
+        return False
+
+
 def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """The record at ``at``: header fields, block and where it ends; None if there is none.
 
@@ -205,7 +213,7 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
         try:
             data += inflate.decompress(piece) if len(piece) else inflate.flush()
         except zlib.error:
-            if head >= 0:
+            if head >= 0 or _begins_record(window.get(at, STEP)):
                 raise ValueError(f"damaged record at byte {at}") from None
             return None
         here += len(piece)
