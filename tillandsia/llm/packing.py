@@ -194,7 +194,8 @@ def pack_documents(
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     rest = ["doc_id", "start", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
-    ranked = pieces.join(first, ["length", "task"]).select("first", "rank", "length", *rest)
+    # grows with the tasks, so it is never broadcast
+    ranked = pieces.join(first.hint("merge"), ["length", "task"]).select("first", "rank", "length", *rest)
     out_schema = (
         f"doc_id {kind}, start bigint, ids_crc32 bigint, doc_tokens bigint"
         + ", ids binary" * with_ids

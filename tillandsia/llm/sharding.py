@@ -3,14 +3,15 @@
 Documents with equal texts are linked. Each starts in a shard that its row's
 key hashes to; then, round by round, the documents of a group that sit in one
 shard move to the shard where most of their neighbours are, if that shard has
-room under its quota, which cuts fewer links. Rows of a group in one shard
+room under its quota (generous at first, then exact), which cuts fewer links. Rows of a group in one shard
 move as one record with a count, so a round handles at most
 groups x shards records, and a text that makes up a third of all rows is at
 most one record per shard. When a shard is full, groups turn to the best one
 that is not, so a group larger than a shard fills several.
 
 Documents without links fill the shards up to exactly equal counts at the
-end, together with what a shard holds beyond its quota.
+end, together with what a shard holds beyond its quota: its smallest groups,
+which move whole.
 """
 
 from __future__ import annotations
@@ -22,12 +23,17 @@ from tillandsia.llm._common import Scratch
 
 #: Rows that one step of a ranking sorts together, on average.
 RANK_ROWS = 512
-#: Parts whose counts the driver sees when ranking all pooled rows.
+#: Share of its quota by which a shard may be overfull at first; it falls to none
+#: in three quarters of the rounds. Without it, full shards could not exchange groups.
+SLACK = 1.0
+#: Parts by hash of each size class, whose counts the driver sees when ranking all pooled rows.
 POOL_PARTS = 64
 
 
-def _ranked(rows: DataFrame, part: str, order: str, tie: str, n_rows: int, n_parts: int) -> DataFrame:
-    """Adds ``rank``, gapless from 0 within ``part``, roughly along ``order`` (a hash).
+def _ranked(
+    rows: DataFrame, part: str, order: str, tie: str, n_rows: int, n_parts: int, lead: Column | None = None
+) -> DataFrame:
+    """Adds ``rank``, gapless from 0 within ``part``, along ``lead`` and roughly along ``order`` (a hash).
 
     Each part is cut into buckets by the high bits of ``order`` and by the
     hash of ``tie``; the counts of the buckets give where each begins, so no
@@ -41,6 +47,8 @@ def _ranked(rows: DataFrame, part: str, order: str, tie: str, n_rows: int, n_par
         if high
         else F.lit(0).cast("bigint"),
     )
+    if lead is not None:
+        bucketed = bucketed.withColumn("__b", F.col("__b") + lead * (1 << bits))
     counts = bucketed.groupBy(part, "__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select(part, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
@@ -99,7 +107,8 @@ def shard_documents(
 
     load = loads(cells)
     for i in range(rounds):
-        free = [max(0, q - x) for q, x in zip(quota, load)]
+        room = 1 + SLACK * max(0.0, 1 - i / (0.75 * rounds))
+        free = [max(0, int(q * room) - x) for q, x in zip(quota, load)]
         votes = cells.groupBy("gid", "shard").agg(F.sum("n").alias("w"))
         votes = votes.withColumn("vote", F.struct("w", F.xxhash64("gid", "shard").alias("tie"), "shard"))
         best = votes.where(F.get(_longs(free), F.col("shard")) > 0).groupBy("gid").agg(F.max("vote").alias("best"))
@@ -128,8 +137,11 @@ def shard_documents(
         cells = moved.drop("target")
         load = loads(cells)
 
-    placed = scratch.save(base.join(cells.select("gid", "home", "shard"), ["gid", "home"], "left"), "placed")
-    in_shard = _ranked(placed.where("shard IS NOT NULL"), "shard", "gid", "rid", n, n_shards)
+    together = cells.groupBy("gid", "shard").agg(F.ceil(F.log2(F.sum("n") + 1)).alias("bits"))
+    cells = cells.join(together, ["gid", "shard"]).select("gid", "home", "shard", "bits")
+    placed = scratch.save(base.join(cells, ["gid", "home"], "left"), "placed")
+    # a shard keeps the groups it holds most of
+    in_shard = _ranked(placed.where("shard IS NOT NULL"), "shard", "gid", "rid", n, n_shards, 64 - F.col("bits"))
     in_shard = in_shard.withColumn(
         "shard", F.when(F.col("rank") < F.get(_longs(quota), F.col("shard")), F.col("shard"))
     ).drop("rank")
@@ -139,19 +151,25 @@ def shard_documents(
         r["shard"]: r["n"]
         for r in settled.where("shard IS NOT NULL").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()
     }
-    upto, room = [], 0
-    for s in range(n_shards):
-        room += quota[s] - held.get(s, 0)
-        upto.append(room)
-    # the order of the pool follows the group's hash, so what is left of a group stays together
+    # the largest parts of groups are placed first, the most room is filled first; in the order
+    # of the group's hash, so what is left of a group stays together
+    rooms = sorted(((quota[s] - held.get(s, 0), s) for s in range(n_shards)), reverse=True)
+    upto = [sum(r for r, _ in rooms[: i + 1]) for i in range(n_shards)]
+    hash_bits = (POOL_PARTS - 1).bit_length()
     pool = settled.where("shard IS NULL").drop("shard").withColumn(
-        "part", F.shiftrightunsigned("gid", 64 - (POOL_PARTS - 1).bit_length()).cast("int")
+        "part",
+        ((64 - F.coalesce("bits", F.lit(0))) * POOL_PARTS + F.shiftrightunsigned("gid", 64 - hash_bits)).cast("int"),
+    )
+    # at most 65 x POOL_PARTS rows, which one task sums and all may hold
+    counts = pool.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    pool = _ranked(pool.withColumn("order", F.shiftleft("gid", hash_bits)), "part", "order", "rid", n, POOL_PARTS)
+    place = F.col("first") + F.col("rank")
+    filled = pool.join(F.broadcast(firsts), "part").withColumn(
+        "shard",
+        F.get(F.array(*[F.lit(s) for _, s in rooms]), F.size(F.filter(_longs(upto), lambda x: x <= place))),
     )
-    sizes = {r["part"]: r["n"] for r in pool.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    first = [sum(sizes.get(q, 0) for q in range(p)) for p in range(POOL_PARTS)]
-    pool = _ranked(pool.withColumn("order", F.shiftleft("gid", (POOL_PARTS - 1).bit_length())), "part", "order", "rid", n, POOL_PARTS)
-    at = F.get(_longs(first), F.col("part")) + F.col("rank")
-    filled = pool.withColumn("shard", F.size(F.filter(_longs(upto), lambda x: x <= at)).cast("int"))
     columns = ["rid", "gid", "doc_id", "size", "text_crc32", "shard"]
     final = scratch.save(
         settled.where("shard IS NOT NULL").select(*columns).unionByName(filled.select(*columns)), "final"
