@@ -4,8 +4,8 @@ Every feature of a word (the word, its shape, its ending) has a fixed sparse
 random index vector. Its word vector is the sum of the index vectors of the
 words around it in a bounded sample of labelled documents, summed as whole
 numbers by tasks, so that the order of rows changes nothing. A document is the
-mean of its words' vectors with a few figures of the pooling itself, such as
-how much its words repeat. A two-layer network in numpy scores it; a
+mean of its words' vectors with a few figures of the pooling itself: how much
+its words repeat, and how alike those are that stand close together. A two-layer network in numpy scores it; a
 temperature fitted on documents it did not learn from calibrates the score.
 """
 
@@ -26,14 +26,16 @@ from tillandsia.llm._common import Scratch, worker_cache
 
 #: Rows of the vector table (features share them by hash), dimensions, and signs in an index vector.
 ROWS, DIMS, SIGNS = 1 << 15, 48, 6
+#: Distances at which the likeness of words is pooled.
+LAGS = 4
 #: Words to either side that count as a word's context.
 WINDOW = 2
 #: At most so many labelled documents are learned from.
 TRAIN_ROWS = 8000
 #: Share of them that only fits the temperature.
 CALIBRATION = 0.2
-#: Hidden units, rounds over the sample, and the score from which a document is good.
-HIDDEN, EPOCHS, THRESHOLD = 32, 60, 0.7
+#: Hidden units, rounds over the sample, weight decay, and the score from which a document is good.
+HIDDEN, EPOCHS, DECAY, THRESHOLD = 32, 60, 1e-3, 0.7
 #: Words a task remembers, and words it pools at a time.
 CACHE_WORDS, POOL_WORDS = 200_000, 200_000
 
@@ -110,9 +112,9 @@ class Pooler:
             self.vectors = room
         self.vectors[len(self.index) - len(words) : len(self.index)] = both
 
-    def _sums(self, text: bytes) -> tuple[np.ndarray, float, int]:
+    def _sums(self, text: bytes) -> tuple[np.ndarray, float, np.ndarray, int]:
         words = text.split()
-        total, own = np.zeros(2 * DIMS), 0.0
+        total, own, near = np.zeros(2 * DIMS), 0.0, np.zeros(LAGS)
         for begin in range(0, len(words), POOL_WORDS):
             part = words[begin : begin + POOL_WORDS]
             if len(self.index) > CACHE_WORDS:
@@ -124,21 +126,26 @@ class Pooler:
                 self._learn(list(dict.fromkeys(w for w, i in zip(part, ids.tolist()) if i >= known)))
             picked = self.vectors[ids]
             total += picked.sum(axis=0, dtype=np.float64)
-            own += float(np.einsum("nd,nd->", picked[:, DIMS:], picked[:, DIMS:], dtype=np.float64))
-        return total, own, len(words)
+            raw = picked[:, DIMS:]
+            own += float(np.einsum("nd,nd->", raw, raw))
+            for lag in range(1, min(LAGS, len(raw) - 1) + 1):
+                near[lag - 1] += float(np.einsum("nd,nd->", raw[lag:], raw[:-lag]))
+        return total, own, near, len(words)
 
     def features(self, texts: list[bytes]) -> np.ndarray:
         """One row per text; a text without words is all zero."""
-        out = np.zeros((len(texts), DIMS + 4))
+        out = np.zeros((len(texts), DIMS + 4 + LAGS))
         for i, text in enumerate(texts):
-            total, own, n = self._sums(text)
+            total, own, near, n = self._sums(text)
             if not n:
                 continue
             mean, raw = total[:DIMS] / n, total[DIMS:]
             out[i, :DIMS] = mean
             # near 1 if one word makes up the text, near 1 / n if all words differ
             repeats = float(raw @ raw) / n / own if own else 0.0
-            out[i, DIMS:] = repeats, np.log(repeats + 1e-4) / 9, np.linalg.norm(mean), np.log1p(n) / 10
+            out[i, DIMS : DIMS + 4] = repeats, np.log(repeats + 1e-4) / 9, np.linalg.norm(mean), np.log1p(n) / 10
+            # how alike a word and the ones shortly before it are
+            out[i, DIMS + 4 :] = near / own if own else 0.0
         return out
 
 
@@ -185,7 +192,7 @@ def train_network(x: np.ndarray, y: np.ndarray, table: np.ndarray, seed: int = 1
             p = 1 / (1 + np.exp(-np.clip(hidden @ params[2] + params[3], -50, 50)))
             d = (p - ty[rows]) / len(rows)
             dh = np.outer(d, params[2]) * (1 - hidden * hidden)
-            grads = [z[rows].T @ dh + 1e-4 * params[0], dh.sum(axis=0), hidden.T @ d + 1e-4 * params[2], np.array([d.sum()])]
+            grads = [z[rows].T @ dh + DECAY * params[0], dh.sum(axis=0), hidden.T @ d + DECAY * params[2], np.array([d.sum()])]
             step += 1
             for i, g in enumerate(grads):
                 first[i] = 0.9 * first[i] + 0.1 * g
@@ -199,7 +206,7 @@ def train_network(x: np.ndarray, y: np.ndarray, table: np.ndarray, seed: int = 1
         def loss(temperature: float) -> float:
             return float(np.mean(np.logaddexp(0, logit / temperature) - t * logit / temperature))
 
-        model.temperature = float(min(np.geomspace(0.25, 8, 61), key=loss))
+        model.temperature = float(min(np.geomspace(0.5, 8, 61), key=loss))
     return model
 
 
