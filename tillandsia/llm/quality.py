@@ -5,8 +5,9 @@ random index vector. Its word vector is the sum of the index vectors of the
 words around it in a bounded sample of labelled documents, summed as whole
 numbers by tasks, so that the order of rows changes nothing. A document is the
 mean of its words' vectors with a few figures of the pooling itself: how much
-its words repeat, and how alike those are that stand close together. A two-layer network in numpy scores it; a
-temperature fitted on documents it did not learn from calibrates the score.
+its words repeat, and how alike those are that stand close together. A
+two-layer network in numpy scores it; a temperature fitted on documents it did
+not learn from calibrates the score.
 """
 
 from __future__ import annotations

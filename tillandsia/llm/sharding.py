@@ -31,24 +31,22 @@ POOL_PARTS = 64
 
 
 def _ranked(
-    rows: DataFrame, part: str, order: str, tie: str, n_rows: int, n_parts: int, lead: Column | None = None
+    rows: DataFrame, part: str, order: str, tie: str, n_rows: int, n_parts: int, bits: str | None = None
 ) -> DataFrame:
-    """Adds ``rank``, gapless from 0 within ``part``, along ``lead`` and roughly along ``order`` (a hash).
+    """Adds ``rank``, gapless from 0 within ``part``, roughly along ``order`` (a hash).
 
-    Each part is cut into buckets by the high bits of ``order`` and by the
-    hash of ``tie``; the counts of the buckets give where each begins, so no
-    part is sorted in one task, nor the rows of one value of ``order``.
+    Each part is cut into buckets by the high bits of ``order``; the counts of
+    the buckets give where each begins, so no part is sorted in one task.
+    ``bits`` is about the logarithm of how many rows share a row's ``order``:
+    larger ones come first, and the many rows of one value are dealt to
+    buckets of their own by the hash of ``tie``.
     """
-    bits = max(0, (max(1, n_rows // (n_parts * RANK_ROWS)) - 1).bit_length())
-    high, low = bits - bits // 2, bits // 2
-    bucketed = rows.withColumn(
-        "__b",
-        F.shiftrightunsigned(F.col(order), 64 - high) * (1 << low) + F.pmod(F.xxhash64(tie), F.lit(1 << low))
-        if high
-        else F.lit(0).cast("bigint"),
-    )
-    if lead is not None:
-        bucketed = bucketed.withColumn("__b", F.col("__b") + lead * (1 << bits))
+    high = min(24, max(1, (max(1, n_rows // (n_parts * RANK_ROWS)) - 1).bit_length()))
+    bucket = F.shiftrightunsigned(F.col(order), 64 - high) * (1 << 24)
+    if bits is not None:
+        ways = F.expr(f"shiftleft(1L, CAST(least(24, greatest(0, {bits} - {RANK_ROWS.bit_length() - 2})) AS int))")
+        bucket = bucket + (64 - F.col(bits)) * (1 << 48) + F.pmod(F.xxhash64(tie), ways)
+    bucketed = rows.withColumn("__b", bucket)
     counts = bucketed.groupBy(part, "__b").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select(part, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
@@ -141,7 +139,7 @@ def shard_documents(
     cells = cells.join(together, ["gid", "shard"]).select("gid", "home", "shard", "bits")
     placed = scratch.save(base.join(cells, ["gid", "home"], "left"), "placed")
     # a shard keeps the groups it holds most of
-    in_shard = _ranked(placed.where("shard IS NOT NULL"), "shard", "gid", "rid", n, n_shards, 64 - F.col("bits"))
+    in_shard = _ranked(placed.where("shard IS NOT NULL"), "shard", "gid", "rid", n, n_shards, "bits")
     in_shard = in_shard.withColumn(
         "shard", F.when(F.col("rank") < F.get(_longs(quota), F.col("shard")), F.col("shard"))
     ).drop("rank")
@@ -156,25 +154,26 @@ def shard_documents(
     rooms = sorted(((quota[s] - held.get(s, 0), s) for s in range(n_shards)), reverse=True)
     upto = [sum(r for r, _ in rooms[: i + 1]) for i in range(n_shards)]
     hash_bits = (POOL_PARTS - 1).bit_length()
-    pool = settled.where("shard IS NULL").drop("shard").withColumn(
+    pool = settled.where("shard IS NULL").drop("shard").withColumn("bits", F.coalesce("bits", F.lit(0)))
+    pool = pool.withColumn(
         "part",
-        ((64 - F.coalesce("bits", F.lit(0))) * POOL_PARTS + F.shiftrightunsigned("gid", 64 - hash_bits)).cast("int"),
+        ((64 - F.col("bits")) * POOL_PARTS + F.shiftrightunsigned("gid", 64 - hash_bits)).cast("int"),
     )
     # at most 65 x POOL_PARTS rows, which one task sums and all may hold
     counts = pool.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    pool = _ranked(pool.withColumn("order", F.shiftleft("gid", hash_bits)), "part", "order", "rid", n, POOL_PARTS)
+    pool = _ranked(pool.withColumn("order", F.shiftleft("gid", hash_bits)), "part", "order", "rid", n, POOL_PARTS, "bits")
     place = F.col("first") + F.col("rank")
     filled = pool.join(F.broadcast(firsts), "part").withColumn(
         "shard",
         F.get(F.array(*[F.lit(s) for _, s in rooms]), F.size(F.filter(_longs(upto), lambda x: x <= place))),
     )
-    columns = ["rid", "gid", "doc_id", "size", "text_crc32", "shard"]
+    columns = ["rid", "doc_id", "size", "text_crc32", "shard"]
     final = scratch.save(
         settled.where("shard IS NOT NULL").select(*columns).unionByName(filled.select(*columns)), "final"
     )
-    slots = _ranked(final, "shard", "gid", "rid", n, n_shards)
+    slots = _ranked(final.withColumn("order", F.xxhash64("rid")), "shard", "order", "rid", n, n_shards)
     return slots.select(
         "doc_id",
         "size",
