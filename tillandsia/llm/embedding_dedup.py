@@ -2,7 +2,8 @@
 
 Centres are fitted on a bounded sample. Every vector has a home cell, that of
 its nearest centre, and also visits each other cell in which a vector within
-the threshold's angle could be at home: if ``y`` is nearer to centre ``c`` than
+the threshold's angle could be at home (of two cells, only the first one's
+vectors visit the other, so that a pair meets once): if ``y`` is nearer to centre ``c`` than
 to ``c0``, and the angle of ``x`` and ``y`` is at most ``t``, then
 ``<x, c0 - c> <= sin(t) |c0 - c|``. Comparing residents with residents and
 visitors inside each cell therefore finds every link, whatever the centres
@@ -31,15 +32,19 @@ BLOCK_ROWS = 8192
 SAMPLE_ROWS, MAX_CELLS, FIT_BYTES = 20_000, 4096, 16 << 20
 #: Rounds of k-means.
 ROUNDS = 8
+#: What a row is in a block: at home there, or come to be compared from there or another cell.
+RESIDENT, NEIGHBOUR, VISITOR = 0, 1, 2
 #: Rows of a tile inside a block's product.
 TILE = 1024
 
 
-def unit_rows(vectors: list, dims: int) -> np.ndarray:
-    """Vectors as rows of length 1 in double precision; shorter ones end in zeros."""
+def unit_rows(vectors: pa.Array, dims: int) -> np.ndarray:
+    """A list column as rows of length 1 in double precision; shorter ones end in zeros."""
+    length = vectors.value_lengths().to_numpy()
+    begin = np.cumsum(length) - length
     out = np.zeros((len(vectors), dims))
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+    row = np.repeat(np.arange(len(vectors)), length)
+    out[row, np.arange(len(row)) - begin[row]] = vectors.flatten().to_numpy()
     out /= np.abs(out).max(axis=1, keepdims=True, initial=0)
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
@@ -57,14 +62,18 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def cells_of(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell of each unit row, and which cells (home too) its possible neighbours live in."""
+    """Home cell of each unit row, and the cells it visits: where its possible neighbours live.
+
+    Of two cells, vectors of the one with the smaller number visit the other,
+    so that a pair meets once; all come to their home too.
+    """
     near = x @ centres.T
     home = near.argmax(axis=1)
     apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))
     # an angle over 90 degrees bounds nothing
     sine = math.sqrt(max(0.0, 1 - threshold * threshold)) if threshold > 0 else 2.0
     visits = near[np.arange(len(x)), home][:, None] - near <= sine * apart[home] + 1e-9
-    return home, visits
+    return home, visits & (np.arange(len(centres)) >= home[:, None])
 
 
 def linked_pairs(
@@ -153,12 +162,12 @@ def embedding_components(
     most = max(1, min(SAMPLE_ROWS, FIT_BYTES // (8 * dims)))
     sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(most).select("v").collect()
     k = max(1, min(MAX_CELLS, len(sample) // 4, -(-n // block_rows)))
-    centres = spherical_kmeans(unit_rows([r["v"] for r in sample], dims), k)
+    centres = spherical_kmeans(unit_rows(pa.array([r["v"] for r in sample], pa.list_(pa.float64())), dims), k)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         homes, comers = np.zeros(k, np.int64), np.zeros(k, np.int64)
         for batch in batches:
-            home, visits = cells_of(unit_rows(batch.column(0).to_pylist(), dims), centres, threshold)
+            home, visits = cells_of(unit_rows(batch.column(0), dims), centres, threshold)
             homes += np.bincount(home, minlength=k)
             comers += visits.sum(axis=0)
         yield pa.RecordBatch.from_pydict({"cell": np.arange(k), "homes": homes, "comers": comers})
@@ -176,47 +185,47 @@ def embedding_components(
         for batch in batches:
             for begin in range(0, batch.num_rows, 2048):
                 part = batch.slice(begin, 2048)
-                home, visits = cells_of(unit_rows(part.column(2).to_pylist(), dims), centres, threshold)
+                home, visits = cells_of(unit_rows(part.column(2), dims), centres, threshold)
                 cid = part.column(0).to_numpy()
                 lot = cid * np.int64(0x9E3779B1) >> 7 & 0x7FFFFFFF
-                row, block, resident = [], [], []
+                row, block, role = [], [], []
                 for i in range(len(home)):
                     h, c = blocks[home[i]]
                     mine = first_block[home[i]] + lot[i] % h * c + np.arange(c)
                     row += [i] * c
                     block.append(mine)
-                    resident += [True] * c
+                    role += [RESIDENT] * c
                     for cell in np.flatnonzero(visits[i]):
                         h, c = blocks[cell]
                         block.append(first_block[cell] + np.arange(h) * c + lot[i] % c)
                         row += [i] * h
-                        resident += [False] * h
+                        role += [NEIGHBOUR if cell == home[i] else VISITOR] * h
                 taken = part.take(pa.array(row, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(np.concatenate(block)), pa.array(resident)],
-                    names=["cid", "copies", "v", "block", "resident"],
+                    [*taken.columns, pa.array(np.concatenate(block)), pa.array(role, pa.int32())],
+                    names=["cid", "copies", "v", "block", "role"],
                 )
 
     dealt = classes.select("cid", "copies", "v").mapInArrow(
-        deal, "cid bigint, copies bigint, v array<double>, block bigint, resident boolean"
+        deal, "cid bigint, copies bigint, v array<double>, block bigint, role int"
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        resident = table.column("resident").to_numpy()
-        cid, copies = (table.column(c).to_numpy() for c in ("cid", "copies"))
-        lists = table.column("v").to_pylist()
-        length = np.fromiter(map(len, lists), np.int64, len(lists))
-        x = unit_rows(lists, dims)
-        del lists
-        home, come = np.flatnonzero(resident), np.flatnonzero(~resident)
+        table = table.combine_chunks()
+        cid, copies, role = (table.column(c).to_numpy() for c in ("cid", "copies", "role"))
+        vectors = pa.concat_arrays(table.column("v").chunks)
+        length, x = vectors.value_lengths().to_numpy(), unit_rows(vectors, dims)
+        home, come = np.flatnonzero(role == RESIDENT), np.flatnonzero(role != RESIDENT)
         # labels run over distinct classes in the order of their numbers
         order, place = np.unique(cid, return_inverse=True)
         labels, links = np.arange(len(order)), np.zeros(len(order), np.int64)
         for i, j in linked_pairs(x[come], x[home], threshold):
             i, j = come[i], home[j]
-            ok = (cid[i] != cid[j]) & (length[i] == length[j])
+            # residents of one cell meet twice, and themselves
+            ok = ((role[i] == VISITOR) | (cid[i] < cid[j])) & (length[i] == length[j])
             i, j = i[ok], j[ok]
             np.add.at(links, place[i], copies[j])
+            np.add.at(links, place[j], copies[i])
             labels = merge_labels(labels, place[i], place[j])
         some = np.flatnonzero((links > 0) | (labels != np.arange(len(order))))
         return pa.table({"cid": order[some], "links": links[some], "root": order[labels[some]]})
