@@ -1,0 +1,82 @@
+"""Operators on a session that retries tasks, with first attempts of some failing.
+
+Run as a script by ``test_llm_retry.py``: ``python _llm_retry_job.py REPO SF_DIR MARK_DIR``.
+Prints, for each operator, whether the rows equal those of an undisturbed run.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+
+REPO, SF_DIR, MARK_DIR = sys.argv[1:4]
+sys.path.insert(0, REPO)
+
+import public_tokenizers as P  # noqa: E402
+from pyspark import TaskContext  # noqa: E402
+
+from tillandsia.llm.exact_dedup import exact_dedup, exact_groups  # noqa: E402
+from tillandsia.llm.minhash_dedup import minhash_components  # noqa: E402
+from tillandsia.llm.packing import pack_documents  # noqa: E402
+from tillandsia.llm.sharding import shard_documents  # noqa: E402
+from tillandsia.llm.token_counts import token_counts  # noqa: E402
+from tillandsia.llm.warc import read_warc, write_warc  # noqa: E402
+from tillandsia.session import build_session  # noqa: E402
+from tillandsia.sources.tables import read_table  # noqa: E402
+
+
+def failing_first_attempt(batches):
+    """Fails partitions 0 and 3 at their first attempt, after part of their rows are out."""
+    ctx = TaskContext.get()
+    for i, batch in enumerate(batches):
+        yield batch
+        if ctx.attemptNumber() == 0 and ctx.partitionId() in (0, 3):
+            open(os.path.join(MARK_DIR, f"{ctx.stageId()}-{ctx.partitionId()}"), "w").close()
+            raise RuntimeError(f"injected failure: partition {ctx.partitionId()}")
+
+
+def main() -> None:
+    spark = build_session(
+        "local[4,3]",
+        app_name="tillandsia-llm-retry-test",
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "10",
+            "spark.checkpoint.dir": f"file://{MARK_DIR}/shared",
+        },
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    docs = read_table(spark, SF_DIR, "documents").repartition(6, "doc_id")
+    flaky = docs.mapInArrow(failing_first_attempt, docs.schema)
+    pages = read_table(spark, SF_DIR, "pages").repartition(6, "page_id")
+    ranks = P.path("byte_bpe_50k.tiktoken")
+
+    def archives(rows, name):
+        manifest = write_warc(rows, f"file://{MARK_DIR}/{name}", roll_bytes=5000)
+        found = [r.path for r in manifest.collect()]
+        files = spark.createDataFrame([(p, os.path.getsize(p.removeprefix("file://"))) for p in found], "path string, size bigint")
+        kept = [f for f in os.listdir(f"{MARK_DIR}/{name}") if f.endswith(".gz")]
+        assert len(kept) == len(found) == len(set(found))
+        return read_warc(files)
+
+    # columns that do not depend on how rows were dealt to tasks
+    operators = {
+        "token_counts": lambda d: token_counts(d, P.path("byte_bpe_50k.json"), P.PATTERN),
+        "exact_groups": exact_groups,
+        "exact_dedup": exact_dedup,
+        "minhash": lambda d: minhash_components(d, 3, 85),
+        "sharding": lambda d: shard_documents(d, 7).groupBy("shard").count(),
+        "packing": lambda d: pack_documents(d, ranks, P.PATTERN, {}).drop("sequence_id", "offset"),
+    }
+    same = {name: sorted(map(str, f(docs).collect())) == sorted(map(str, f(flaky).collect())) for name, f in operators.items()}
+    bad_pages = pages.mapInArrow(failing_first_attempt, pages.schema)
+    same["warc"] = sorted(map(str, archives(pages, "a").collect())) == sorted(map(str, archives(bad_pages, "b").collect()))
+    spark.stop()
+    print(json.dumps(same))
+
+
+if __name__ == "__main__":
+    main()

@@ -6,12 +6,13 @@ pairs from buckets are compared batch by batch of the signature and dropped as
 soon as the posterior chance that they are similar enough falls under the
 miss probability; what survives is verified on the full shingle sets.
 
-Buckets are not expanded into all pairs. First, every bucket compares its
-members with one centre, and the verified links are joined into components.
-Then members of one bucket that are still in different components are
-compared, block by block, inside tasks that return only surviving pairs. So a
-thousand copies of one page cost a thousand comparisons, and no pair that
-could join two components is left out.
+Buckets are not expanded into all pairs. In each of a few rounds, every bucket
+compares its members with one centre, verified links join components, and
+buckets whose members are all in one component are done. Members of what is
+left are compared block by block inside tasks, only across components, which
+return the components they join and no pairs. So a thousand copies of one page
+cost a few thousand comparisons, and no pair that could join two components is
+left out.
 """
 
 from __future__ import annotations
@@ -32,12 +33,15 @@ from tillandsia.llm._common import Scratch, connected_components, shingle_hashes
 HASHES, BATCH = 144, 16
 #: Chance to miss a pair that is just similar enough: in banding, and in verification.
 BAND_MISS, MISS = 1e-4, 1e-6
+#: Rounds in which buckets compare their members with one centre.
+STAR_ROUNDS = 4
 #: Members of a block where a bucket's components are compared.
 BLOCK_ROWS = 128
-#: Multipliers of the signature's hash functions, and orders that pick centres.
+#: Multipliers of the signature's hash functions.
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-CENTRE_MASKS = [int(x) for x in _RNG.integers(0, 2**62, 4)]
+#: Orders that pick the first round's centres: few, so that a group's buckets share theirs.
+FIRST_ORDERS = 4
 
 
 def band_rows(similarity: float, hashes: int = HASHES, miss: float = BAND_MISS) -> int:
@@ -171,17 +175,19 @@ def minhash_components(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.xxhash64(i, F.substring("sig", i * (4 * rows_per_band) + 1, F.lit(4 * rows_per_band))),
     )
-    banded = classes.select("cid", F.explode(keys).alias("key"))
-    mask = F.array(*[F.lit(m).cast("bigint") for m in CENTRE_MASKS])[
-        F.pmod("key", F.lit(len(CENTRE_MASKS))).cast("int")
-    ]
+    banded = classes.select("cid", F.posexplode(keys).alias("band", "key"))
+    # a number xor a mask orders the classes in a way of its own for each mask
+    mask = F.shiftrightunsigned(F.xxhash64(F.pmod("key", F.lit(FIRST_ORDERS)), F.lit(0)), 2)
     buckets = (
         banded.groupBy("key")
         .agg(F.min(F.col("cid").bitwiseXOR(mask)).alias("low"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .select("key", F.col("low").bitwiseXOR(mask).alias("centre"))
     )
-    active = scratch.save(banded.join(buckets, "key"), "active")
+    active = banded.join(buckets, "key").select(
+        "key", "band", "cid", "centre", F.col("cid").alias("root"), F.col("centre").alias("centre_root")
+    )
+    active = scratch.save(active, "active-0")
 
     # the full sets of what is in buckets, from one row of each class
     wanted = active.select("cid").distinct().join(classes.select("cid", "row_key", "digest"), "cid")
@@ -212,84 +218,125 @@ def minhash_components(
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` that link, by their full sets."""
-        a = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("set_a"))
-        b = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("set_b"))
-        shared = F.size(F.array_intersect("set_a", "set_b"))
-        either = F.size("set_a") + F.size("set_b") - shared
-        return pairs.join(a, "a").join(b, "b").where(100 * shared >= percent * either).select("a", "b")
+        """The roots ``(a, b)`` of pairs ``(x, y)`` that link, by their full sets."""
+        x = sets.select(F.col("cid").alias("x"), F.col("shingles").alias("set_x"))
+        y = sets.select(F.col("cid").alias("y"), F.col("shingles").alias("set_y"))
+        shared = F.size(F.array_intersect("set_x", "set_y"))
+        either = F.size("set_x") + F.size("set_y") - shared
+        return pairs.join(x, "x").join(y, "y").where(100 * shared >= percent * either).select("a", "b").distinct()
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keep = survivors(_signatures(batch.column(2)), _signatures(batch.column(3)), similarity, miss)
-            yield batch.select([0, 1]).take(pa.array(keep))
-
-    # first round: each bucket's members against its centre
-    stars = active.where("cid <> centre").select(
-        F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")
-    ).distinct()
-    stars = stars.join(sig_of.select(F.col("cid").alias("a"), F.col("sig").alias("sig_a")), "a").join(
-        sig_of.select(F.col("cid").alias("b"), F.col("sig").alias("sig_b")), "b"
-    )
-    candidates = stars.select("a", "b", "sig_a", "sig_b").mapInArrow(likely, "a bigint, b bigint")
-    links = scratch.save(verified(candidates), "links-1")
-    roots = connected_components(links, scratch, "round-1")
-
-    # second round: members of a bucket that are still in different components; its centre has met all
-    members = (
-        active.where("cid <> centre")
-        .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-        .select("key", "cid", F.coalesce("root", "cid").alias("root"))
-    )
-    members = scratch.save(members, "members")
-    mixed = (
-        members.groupBy("key")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .where("lo < hi")
-        .select("key", F.ceil(F.col("n") / block_rows).alias("blocks"))
-    )
-    blocks = (
-        members.join(mixed, "key")
-        .join(sig_of, "cid")
-        .groupBy("key", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"))
-        .agg(F.collect_list(F.struct("cid", "root", "sig")).alias("m"))
+            if batch.num_rows:
+                keep = survivors(_signatures(batch.column(4)), _signatures(batch.column(5)), similarity, miss)
+                yield batch.select([0, 1, 2, 3]).take(pa.array(keep))
+
+    roots = active.select("cid", "root").distinct()
+
+    def joined(links: DataFrame, i: int) -> DataFrame:
+        """``roots`` after joining components by ``links(a, b)`` between their roots."""
+        merged = connected_components(links, scratch, f"merged-{i}")
+        merged = merged.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("new"))
+        out = roots.join(merged, "root", "left").select("cid", F.coalesce("new", "root").alias("root"))
+        return scratch.save(out, f"roots-{i}")
+
+    def mixed(i: int) -> DataFrame:
+        """The buckets of ``active`` that still hold several components, with a new centre each."""
+        members = scratch.save(active.select("key", "band", "cid").join(roots, "cid"), f"members-{i}")
+        mask = F.shiftrightunsigned(F.xxhash64("key", F.lit(i)), 2)
+        left = (
+            members.groupBy("key")
+            .agg(
+                F.min("root").alias("lo"),
+                F.max("root").alias("hi"),
+                F.count(F.lit(1)).alias("n"),
+                F.min(F.struct(F.col("cid").bitwiseXOR(mask).alias("o"), "cid", "root")).alias("c"),
+            )
+            .where("lo < hi")
+            .select("key", "n", F.col("c.cid").alias("centre"), F.col("c.root").alias("centre_root"))
+        )
+        return scratch.save(members.join(left, "key"), f"active-{i}")
+
+    for i in range(1, STAR_ROUNDS + 1):
+        stars = (
+            active.where("root <> centre_root")
+            .select(
+                F.least("cid", "centre").alias("x"),
+                F.greatest("cid", "centre").alias("y"),
+                F.least("root", "centre_root").alias("a"),
+                F.greatest("root", "centre_root").alias("b"),
+            )
+            .distinct()
+            .join(sig_of.select(F.col("cid").alias("x"), F.col("sig").alias("sig_x")), "x")
+            .join(sig_of.select(F.col("cid").alias("y"), F.col("sig").alias("sig_y")), "y")
+            .select("x", "y", "a", "b", "sig_x", "sig_y")
+        )
+        candidates = stars.mapInArrow(likely, "x bigint, y bigint, a bigint, b bigint")
+        roots = joined(scratch.save(verified(candidates), f"links-{i}"), i)
+        active = mixed(i)
+        if active.isEmpty():
+            break
+
+    # what is left: block against block, only across components
+    ways = F.ceil(F.col("n") / block_rows).cast("int")
+    dealt = (
+        active.join(sig_of, "cid")
+        .join(sets, "cid")
+        .withColumn("block", F.pmod(F.xxhash64("cid"), ways).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), ways - 1)))
+        .select(
+            "key",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            "band",
+            "block",
+            "cid",
+            "root",
+            "sig",
+            "shingles",
+        )
     )
-    blocks = scratch.save(blocks, "blocks")
-    pairs_of_blocks = blocks.alias("x").join(
-        blocks.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block"))
-    )
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def opened(column: pa.ListArray, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            m = column[i].values
-            cid, root = (m.field(k).to_numpy() for k in (0, 1))
-            return cid, root, _signatures(m.field(2))
 
-        for batch in batches:
-            for i in range(batch.num_rows):
-                (ca, ra, sa), (cb, rb, sb) = opened(batch.column(0), i), opened(batch.column(1), i)
-                p, q = np.nonzero(ra[:, None] != rb[None, :])
-                for at in range(0, len(p), 1 << 14):
-                    s, t = p[at : at + (1 << 14)], q[at : at + (1 << 14)]
-                    keep = survivors(sa[s], sb[t], similarity, miss)
-                    if len(keep):
-                        a, b = ca[s[keep]], cb[t[keep]]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-                        )
-
-    rest = pairs_of_blocks.select(F.col("x.m").alias("x"), F.col("y.m").alias("y")).mapInArrow(
-        across, "a bigint, b bigint"
-    )
-    more = scratch.save(verified(rest.distinct()), "links-2")
-    if not more.isEmpty():
-        old = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = connected_components(old.unionByName(more), scratch, "round-2")
+    def across(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
+        block, root = table.column("block").to_numpy(), table.column("root").to_numpy()
+        sig = _signatures(table.column("sig"))
+        lists = pa.concat_arrays(table.column("shingles").chunks)
+        # sorted as they were hashed, without signs
+        flat, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(lists.value_lengths().to_numpy())
+        full = np.split(flat, ends[:-1])
+        joins: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while joins.get(x, x) != x:
+                x = joins[x]
+            return x
+
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        begin = band * rows_per_band
+        for p in left:
+            q = right[(root[right] != root[p]) & ((right > p) | (i != j))]
+            # a pair that meets in several buckets is compared in that of its first common band
+            same = sig[q, :begin].reshape(len(q), band, rows_per_band) == sig[p, :begin].reshape(band, rows_per_band)
+            q = q[~same.all(axis=2).any(axis=1)]
+            q = q[survivors(sig[q], np.broadcast_to(sig[p], (len(q), HASHES)), similarity, miss)]
+            for k in q:
+                a, b = find(int(root[p])), find(int(root[k]))
+                if a == b:
+                    continue
+                x, y = (full[p], full[k]) if len(full[p]) < len(full[k]) else (full[k], full[p])
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                shared = int((y[at] == x).sum())
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                    joins[max(a, b)] = min(a, b)
+        return pa.table({"a": pa.array(list(joins), pa.int64()), "b": pa.array(list(joins.values()), pa.int64())})
+
+    found = dealt.groupBy("key", "i", "j").applyInArrow(across, "a bigint, b bigint")
+    roots = joined(scratch.save(found.distinct(), "links-last"), STAR_ROUNDS + 1)
 
     heads = classes.select(F.col("cid").alias("root"), F.col("first_id").alias("component_id"))
-    reached = roots.join(heads, "root").select(F.col("node").alias("cid"), "component_id", F.lit(True).alias("reached"))
+    reached = roots.join(heads, "root").select("cid", "component_id", F.lit(True).alias("reached"))
     known = (
         classes.select("cid", "digest", "first_id")
         .join(reached, "cid", "left")
