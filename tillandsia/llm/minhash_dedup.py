@@ -231,14 +231,16 @@ def minhash_components(
                 keep = survivors(_signatures(batch.column(4)), _signatures(batch.column(5)), similarity, miss)
                 yield batch.select([0, 1, 2, 3]).take(pa.array(keep))
 
-    roots = active.select("cid", "root").distinct()
+    roots = scratch.save(active.select("cid", "root").distinct(), "roots-0")
 
     def joined(links: DataFrame, i: int) -> DataFrame:
         """``roots`` after joining components by ``links(a, b)`` between their roots."""
         merged = connected_components(links, scratch, f"merged-{i}")
         merged = merged.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("new"))
         out = roots.join(merged, "root", "left").select("cid", F.coalesce("new", "root").alias("root"))
-        return scratch.save(out, f"roots-{i}")
+        out = scratch.save(out, f"roots-{i}")
+        scratch.drop(f"links-{i}", f"roots-{i - 1}")
+        return out
 
     def mixed(i: int) -> DataFrame:
         """The buckets of ``active`` that still hold several components, with a new centre each."""
@@ -255,7 +257,9 @@ def minhash_components(
             .where("lo < hi")
             .select("key", "n", F.col("c.cid").alias("centre"), F.col("c.root").alias("centre_root"))
         )
-        return scratch.save(members.join(left, "key"), f"active-{i}")
+        out = scratch.save(members.join(left, "key"), f"active-{i}")
+        scratch.drop(f"members-{i}", f"active-{i - 1}")
+        return out
 
     for i in range(1, STAR_ROUNDS + 1):
         stars = (
@@ -333,7 +337,9 @@ def minhash_components(
         return pa.table({"a": pa.array(list(joins), pa.int64()), "b": pa.array(list(joins.values()), pa.int64())})
 
     found = dealt.groupBy("key", "i", "j").applyInArrow(across, "a bigint, b bigint")
-    roots = joined(scratch.save(found.distinct(), "links-last"), STAR_ROUNDS + 1)
+    last = STAR_ROUNDS + 1
+    roots = joined(scratch.save(found.distinct(), f"links-{last}"), last)
+    scratch.drop("sets")
 
     heads = classes.select(F.col("cid").alias("root"), F.col("first_id").alias("component_id"))
     reached = roots.join(heads, "root").select("cid", "component_id", F.lit(True).alias("reached"))

@@ -255,7 +255,8 @@ def fit_quality(
 
     sums = np.zeros((ROWS, DIMS), np.int64)
     # one table of fixed size from each of at most 8 tasks
-    for row in sample.select("text").coalesce(8).mapInArrow(contexts, "sums binary").toLocalIterator():
+    parts = scratch.save(sample.select("text").coalesce(8).mapInArrow(contexts, "sums binary"), "contexts")
+    for row in parts.toLocalIterator():
         sums += np.frombuffer(row["sums"], "<i8").reshape(sums.shape)
     table = word_table(sums)
     shared = docs.sparkSession.sparkContext.broadcast(table)
