@@ -19,11 +19,14 @@ from pyspark.sql import SparkSession
 #   means a task reads only the projected columns of its split, so the
 #   default 128 MB split leaves most tasks under-filled. Task memory does not
 #   grow with the split size because the vectorized reader streams batches.
+# - 1000 rows to an Arrow batch: a batch of Spark's default 10,000 long texts
+#   would not fit a Python worker.
 SCALE_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
