@@ -136,8 +136,95 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-#: DuckDB SQL of the results that SQL can state. ``translate`` lower-cases A-Z alone.
+#: DuckDB SQL of the results that SQL can state. ``translate`` lower-cases A-Z alone. Tokens,
+#: learned scores, shards and packings it can't state.
 ORACLES = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT html, min(page_id) AS first_id, upper(sha1(html)) AS hex FROM p GROUP BY html),
+b AS (
+    SELECT html, first_id, array_to_string(list_transform(range(1, 41), lambda i:
+        substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * strpos('0123456789ABCDEF', substr(hex, i, 1)) - 3, 4)), '') AS bits
+    FROM d
+),
+g AS (
+    SELECT html, first_id, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+        + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INTEGER)
+        + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INTEGER)
+        + CAST(substr(bits, 5 * i + 5, 1) AS INTEGER), 1)), '') AS payload_digest
+    FROM b
+)
+SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, g.payload_digest,
+       CASE WHEN g.first_id IS NULL OR p.page_id = g.first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.first_id IS NULL OR p.page_id = g.first_id THEN NULL ELSE g.first_id END AS refers_to
+FROM p JOIN g ON p.html = g.html
+""".strip(),
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+),
+heads AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT h.vec_id, coalesce(d.n_links, 0) AS n_links, h.component_id, h.vec_id = h.component_id AS kept
+FROM heads h LEFT JOIN degrees d ON h.vec_id = d.vec_id
+""".strip(),
+    "op5_minhash_dedup": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+s AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingles
+    FROM w
+),
+x AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, p.b FROM reach r JOIN pairs p ON r.other = p.a
+),
+heads AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, h.component_id, s.doc_id = h.component_id AS kept
+FROM s JOIN heads h ON s.doc_id = h.doc_id
+""".strip(),
+    "op6_chat_format": r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+n AS (
+    SELECT *, row_number() OVER own AS i, count(*) OVER (PARTITION BY conv_id) AS turns,
+        length('<s>[INST][/INST]</s>')
+        + length(regexp_replace(role, '([<\[])(\\*)(s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g'))
+        + length(regexp_replace(text, '([<\[])(\\*)(s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g')) AS chars
+    FROM c WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+e AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM n)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (WHERE role = 'assistant' OR i = turns) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""".strip(),
     "op8_exact_dedup": """
 WITH n AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
