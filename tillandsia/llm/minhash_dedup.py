@@ -184,6 +184,8 @@ def minhash_components(
         .where("n > 1")
         .select("key", F.col("low").bitwiseXOR(mask).alias("centre"))
     )
+    # written, so that the join has a stage of its own, in which a very full bucket can be split
+    buckets = scratch.save(buckets, "buckets-0")
     active = banded.join(buckets, "key").select(
         "key", "band", "cid", "centre", F.col("cid").alias("root"), F.col("centre").alias("centre_root")
     )
@@ -257,8 +259,9 @@ def minhash_components(
             .where("lo < hi")
             .select("key", "n", F.col("c.cid").alias("centre"), F.col("c.root").alias("centre_root"))
         )
+        left = scratch.save(left, f"buckets-{i}")
         out = scratch.save(members.join(left, "key"), f"active-{i}")
-        scratch.drop(f"members-{i}", f"active-{i - 1}")
+        scratch.drop(f"members-{i}", f"active-{i - 1}", f"buckets-{i}")
         return out
 
     for i in range(1, STAR_ROUNDS + 1):
