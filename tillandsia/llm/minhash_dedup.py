@@ -279,7 +279,10 @@ def minhash_components(
             .select("x", "y", "a", "b", "sig_x", "sig_y")
         )
         candidates = stars.mapInArrow(likely, "x bigint, y bigint, a bigint, b bigint")
-        roots = joined(scratch.save(verified(candidates), f"links-{i}"), i)
+        links = scratch.save(verified(candidates), f"links-{i}")
+        if links.isEmpty():
+            break
+        roots = joined(links, i)
         active = mixed(i)
         if active.isEmpty():
             break

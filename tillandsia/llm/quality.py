@@ -33,6 +33,8 @@ LAGS = 4
 WINDOW = 2
 #: At most so many labelled documents are learned from.
 TRAIN_ROWS = 8000
+#: Pieces in which the table of word sums is added up.
+SUM_CHUNKS = 32
 #: Share of them that only fits the temperature.
 CALIBRATION = 0.2
 #: Hidden units, rounds over the sample, weight decay, and the score from which a document is good.
@@ -251,13 +253,18 @@ def fit_quality(
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = context_sums(t or b"" for batch in batches for t in batch.column(0).to_pylist())
-        yield pa.RecordBatch.from_pydict({"sums": [sums.astype("<i8").tobytes()]})
+        chunks = [c.astype("<i8").tobytes() for c in np.split(sums, SUM_CHUNKS)]
+        yield pa.RecordBatch.from_pydict({"chunk": range(SUM_CHUNKS), "sums": chunks})
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_py(), "<i8") for c in table.column("sums"))
+        return pa.table({"chunk": table.column("chunk")[:1], "sums": [total.tobytes()]})
 
     sums = np.zeros((ROWS, DIMS), np.int64)
-    # one table of fixed size from each of at most 8 tasks
-    parts = scratch.save(sample.select("text").coalesce(8).mapInArrow(contexts, "sums binary"), "contexts")
-    for row in parts.toLocalIterator():
-        sums += np.frombuffer(row["sums"], "<i8").reshape(sums.shape)
+    # one table of fixed size from each of at most 8 tasks, added up chunk by chunk
+    parts = sample.select("text").coalesce(8).mapInArrow(contexts, "chunk bigint, sums binary")
+    for row in parts.groupBy("chunk").applyInArrow(add, "chunk bigint, sums binary").collect():
+        np.split(sums, SUM_CHUNKS)[row["chunk"]][:] = np.frombuffer(row["sums"], "<i8").reshape(-1, DIMS)
     table = word_table(sums)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
