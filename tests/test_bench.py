@@ -13,13 +13,13 @@ import __spark_entry__ as contract
 
 
 def test_bench_prints_one_json_line():
-    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_WARMUP="1", BENCH_REPEAT="1")
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_WARMUP="1", BENCH_REPEAT="1", BENCH_SLOW="0")
     out = subprocess.run(
         [sys.executable, os.path.join(REPO, "bench.py")],
         env=env,
         capture_output=True,
         text=True,
-        timeout=600,
+        timeout=1800,
         check=True,
     ).stdout
     lines = [line for line in out.splitlines() if line.strip()]
