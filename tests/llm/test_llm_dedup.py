@@ -164,6 +164,20 @@ def test_a_large_group_of_near_copies_and_a_chain(spark):
     assert Counter(map(tuple, got)) == near_truth(rows, 3, 85)
 
 
+def test_documents_that_share_buckets_without_linking(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(4000)]
+    base = rng.sample(words, 120)
+    rows = [(i, " ".join(rng.sample(words, 40))) for i in range(60)]
+    # alike enough to meet in a bucket, but under the threshold: no round verifies a link
+    rows += [(100 + i, " ".join(base[:100] + rng.sample(words, 30))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = minhash_components(docs, 3, 85, block_rows=4).drop("text_hash").collect()
+    assert Counter(map(tuple, got)) == near_truth(rows, 3, 85)
+    assert all(r.kept for r in got)
+    assert near_dedup(docs).count() == len(rows)
+
+
 def test_near_dedup_keeps_the_smallest_id_with_all_columns(tricky, nothing):
     rows = [(r.doc_id, r.text) for r in exact_dedup(tricky).collect()]
     docs = exact_dedup(tricky).cache()

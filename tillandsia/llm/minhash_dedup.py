@@ -182,12 +182,12 @@ def minhash_components(
         banded.groupBy("key")
         .agg(F.min(F.col("cid").bitwiseXOR(mask)).alias("low"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("key", F.col("low").bitwiseXOR(mask).alias("centre"))
+        .select("key", "n", F.col("low").bitwiseXOR(mask).alias("centre"))
     )
     # written, so that the join has a stage of its own, in which a very full bucket can be split
     buckets = scratch.save(buckets, "buckets-0")
     active = banded.join(buckets, "key").select(
-        "key", "band", "cid", "centre", F.col("cid").alias("root"), F.col("centre").alias("centre_root")
+        "key", "band", "cid", "n", "centre", F.col("cid").alias("root"), F.col("centre").alias("centre_root")
     )
     active = scratch.save(active, "active-0")
 
