@@ -7,8 +7,10 @@ import gzip
 import hashlib
 import io
 import os
+import random
 import zlib
 from collections import Counter
+from urllib.parse import unquote
 
 import pytest
 from conftest import SF_SMALL
@@ -132,3 +134,21 @@ def test_damaged_records_raise():
     broken[-6] ^= 255
     with pytest.raises(ValueError, match="damaged"):
         scanned(bytes(broken), 0, len(broken))
+
+
+def test_headers_of_any_length_are_read():
+    rng = random.Random(4)
+    url = "http://x/" + "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(350_000))
+    data = record_member("1", url, b"one", None) + record_member("2", "u", b"two", None)
+    (fields, block, _), (other, _, _) = scan_range(File(data), len(data), 0, len(data))
+    assert unquote(fields["warc-target-uri"]) == url and block.endswith(b"one")
+    assert other["x-page-id"] == "2"
+
+
+@pytest.mark.parametrize(
+    "header, match", [(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n", "Content-Length"), (b"WARC/1.1\r\nWARC-Type: resp", "does not end")]
+)
+def test_records_without_a_whole_header_raise(header, match):
+    data = gzip.compress(header)
+    with pytest.raises(ValueError, match=match):
+        scanned(data, 0, len(data))

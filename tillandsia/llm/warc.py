@@ -34,8 +34,6 @@ DATE = "1970-01-01T00:00:00Z"
 ROLL_BYTES = 256 << 20
 #: Compressed bytes a reading task scans.
 SPLIT_BYTES = 32 << 20
-#: Longest WARC header accepted.
-HEADER_BYTES = 1 << 20
 #: Bytes read from a store at a time, and bytes given to the decoder at a time.
 WINDOW, STEP = 1 << 20, 1 << 13
 
@@ -203,11 +201,11 @@ def _begins_record(piece: memoryview) -> bool:
 def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """The record at ``at``: header fields, block and where it ends; None if there is none.
 
-    What inflates to a WARC header but not to a whole record is damaged, and
-    raises.
+    What inflates to the beginning of a WARC header but not to a whole record
+    is damaged, and raises; a header may be of any length.
     """
     inflate = zlib.decompressobj(31)
-    data, head, here = bytearray(), -1, at
+    data, head, searched, here = bytearray(), -1, 0, at
     while not inflate.eof:
         piece = window.get(here, STEP)
         try:
@@ -220,21 +218,22 @@ def _member(window: _Window, at: int) -> tuple[dict[str, str], bytes, int] | Non
         if head < 0:
             if not bytes(data[:7]) == b"WARC/1."[: len(data[:7])]:
                 return None
-            head = data.find(b"\r\n\r\n")
-            if head < 0 and len(data) > HEADER_BYTES:
-                return None
+            head = data.find(b"\r\n\r\n", max(0, searched - 3))
+            searched = len(data)
         if not len(piece) and not inflate.eof:
-            if head >= 0:
+            if len(data) >= 7:
                 raise ValueError(f"record at byte {at} is cut off")
             return None
-    if head < 0:
+    if len(data) < 7:
         return None
+    if head < 0:
+        raise ValueError(f"header of the record at byte {at} does not end")
     fields = {}
     for line in data[:head].decode("utf-8", "replace").split("\r\n")[1:]:
         name, _, value = line.partition(":")
         fields[name.strip().lower()] = value.strip()
     if not fields.get("content-length", "").isdigit():
-        return None
+        raise ValueError(f"record at byte {at} states no Content-Length")
     length = int(fields["content-length"])
     block = bytes(data[head + 4 : head + 4 + length])
     if len(block) < length:
