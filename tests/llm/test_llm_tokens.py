@@ -103,6 +103,16 @@ def test_a_long_run_without_white_space_is_split_at_matches():
     assert list(safe_parts("a" * 5000, P.PATTERN, 1000)) == ["a" * 5000]
 
 
+@pytest.mark.parametrize("chunk_chars", [8, 1 << 16])
+@pytest.mark.parametrize("space", ["\n", "\t", " \n"])
+def test_a_run_of_white_space_that_ends_with_the_window_keeps_its_ids(encoding, chunk_chars, space):
+    for n in range(chunk_chars - 2, chunk_chars + 3):
+        text = (space * n)[:n] + "x tail"
+        parts = list(safe_parts(text, P.PATTERN, chunk_chars))
+        assert "".join(parts) == text
+        assert [i for p in parts for i in encoding.encode_ordinary(p)] == encoding.encode_ordinary(text)
+
+
 def test_round_trip_of_the_whole_table(spark, encoding):
     import hashlib
 

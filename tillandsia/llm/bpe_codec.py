@@ -46,12 +46,14 @@ def safe_parts(text: str, pattern: str, chunk_chars: int = CHUNK_CHARS) -> Itera
     No match of the pattern holds a white-space character after another one
     that is not, so a place between the two is a boundary, and looking ahead
     from the left part never reaches it. A long run without such a place is
-    cut at the ends of the pattern's own matches; a single longer match stays
-    whole.
+    cut at the ends of the pattern's own matches, but not between white space
+    and what follows it, where the left part alone would end in another match;
+    a single longer match stays whole.
     """
     import regex
 
     boundary = worker_cache("boundary", lambda: regex.compile(r"(?<=\S)(?=\s)"))
+    unsafe = worker_cache("unsafe end", lambda: regex.compile(r"(?<=\s)(?=\S)"))
     begin = 0
     while len(text) - begin > chunk_chars:
         found = boundary.search(text, begin + chunk_chars // 2, begin + chunk_chars)
@@ -60,7 +62,11 @@ def safe_parts(text: str, pattern: str, chunk_chars: int = CHUNK_CHARS) -> Itera
         else:
             matches = worker_cache(("pattern", pattern), lambda: regex.compile(pattern))
             cut = next(
-                (m.end() for m in matches.finditer(text, begin) if m.end() - begin >= chunk_chars),
+                (
+                    m.end()
+                    for m in matches.finditer(text, begin)
+                    if m.end() - begin >= chunk_chars and not unsafe.match(text, m.end())
+                ),
                 len(text),
             )
         yield text[begin:cut]
