@@ -12,7 +12,7 @@ from llm_fixtures import nothing, tricky  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillandsia.llm.quality import fit_quality, keep_good, quality_scores, with_score
+from tillandsia.llm.quality import context_sums, fit_quality, keep_good, quality_scores, with_score, word_table
 from tillandsia.llm.queries import op7_quality
 
 
@@ -48,6 +48,16 @@ def test_scores_depend_on_nothing_but_the_text_and_what_may_be_learned(spark):
     assert max(abs(before[-r.doc_id] - r.s) for r in again) < 1e-9
 
 
+def test_word_vectors_come_from_all_documents(spark):
+    rows = [(i, f"good plain words number {i % 7} again") for i in range(40)] + [(50, None), (None, "without id")]
+    rows += [(100 + i, f"never labelled text {i} of its own") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    want = word_table(context_sums((t or "").encode() for _, t in rows))
+    for train_rows in (4, 8000):
+        assert np.array_equal(fit_quality(docs, labels, train_rows).table, want)
+
+
 def test_tricky_rows_have_scores(spark, tricky, nothing):
     labels = spark.createDataFrame(
         [(i, i % 2, 0) for i in range(9)] + [(None, 1, 0), (5, None, 0), (4, 1, 0), (4, 0, 0)], "doc_id bigint, quality int, toxic int"

@@ -2,12 +2,12 @@
 
 Every feature of a word (the word, its shape, its ending) has a fixed sparse
 random index vector. Its word vector is the sum of the index vectors of the
-words around it in a bounded sample of labelled documents, summed as whole
-numbers by tasks, so that the order of rows changes nothing. A document is the
-mean of its words' vectors with a few figures of the pooling itself: how much
-its words repeat, and how alike those are that stand close together. A
-two-layer network in numpy scores it; a temperature fitted on documents it did
-not learn from calibrates the score.
+words around it in all documents, labelled or not, summed as whole numbers by
+tasks, so that the order of rows changes nothing. A document is the mean of its
+words' vectors with a few figures of the pooling itself: how much its words
+repeat, and how alike those are that stand close together. A two-layer network
+in numpy, fitted on a bounded sample of labelled documents, scores it; a
+temperature fitted on documents it did not learn from calibrates the score.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,8 @@ LAGS = 4
 WINDOW = 2
 #: At most so many labelled documents are learned from.
 TRAIN_ROWS = 8000
-#: Pieces in which the table of word sums is added up.
-SUM_CHUNKS = 32
+#: Pieces in which the table of word sums is added up, and groups of tasks whose pieces are added first.
+SUM_CHUNKS, SUM_GROUPS = 32, 512
 #: Share of them that only fits the temperature.
 CALIBRATION = 0.2
 #: Hidden units, rounds over the sample, weight decay, and the score from which a document is good.
@@ -68,27 +69,98 @@ def word_features(word: bytes) -> tuple[int, int, int]:
     )
 
 
+class _WordIds(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def context_sums(texts: Iterator[bytes]) -> np.ndarray:
     """For each row of the vector table, the sum of the index vectors around its words."""
-    signs = worker_cache("index vectors", index_vectors).astype(np.int32)
+    signs = worker_cache("index vectors", index_vectors)
     sums = np.zeros((ROWS, DIMS), np.int64)
+    # number 0 is the gap between texts, without a vector
+    ids, rows, own = _WordIds({b"": 0}), np.zeros((1, 3), np.int64), np.zeros((1, DIMS), np.int8)
+
+    def add(words: list[bytes]) -> None:
+        nonlocal ids, rows, own
+        if len(ids) > CACHE_WORDS:
+            ids, rows, own = _WordIds({b"": 0}), rows[:1], own[:1]
+        known = len(ids)
+        at = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+        if len(ids) > known:
+            new = np.array([word_features(w) for w in islice(ids, known, None)], np.int64)
+            rows = np.concatenate([rows, new])
+            own = np.concatenate([own, signs[new].sum(axis=1, dtype=np.int8)])
+        vectors = own[at]
+        around = np.zeros_like(vectors)
+        for d in range(1, WINDOW + 1):
+            around[d:] += vectors[:-d]
+            around[:-d] += vectors[d:]
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0])
+        per_word = np.add.reduceat(around[order], starts, dtype=np.int32)
+        seen = at[order[starts]]
+        per_word, seen = per_word[seen > 0], seen[seen > 0]
+        for column in rows[seen].T:  # a row of the table may stand for several words
+            order = np.argsort(column, kind="stable")
+            starts = np.flatnonzero(np.r_[True, np.diff(column[order]) > 0])
+            sums[column[order[starts]]] += np.add.reduceat(per_word[order], starts, dtype=np.int64)
+
+    held: list[bytes] = []
     for text in texts:
-        for begin in range(0, max(1, len(text)), 1 << 22):  # long texts piece by piece
+        for begin in range(0, len(text), 1 << 22):  # long texts piece by piece
             words = text[begin : begin + (1 << 22)].split()
-            if not words:
-                continue
-            unique: dict[bytes, int] = {}
-            ids = np.fromiter((unique.setdefault(w, len(unique)) for w in words), np.int64, len(words))
-            rows = np.array([word_features(w) for w in unique], np.int64)
-            own = signs[rows].sum(axis=1)[ids]
-            around = np.zeros_like(own)
-            for d in range(1, WINDOW + 1):
-                around[d:] += own[:-d]
-                around[:-d] += own[d:]
-            order = np.argsort(ids, kind="stable")
-            starts = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0])
-            per_word = np.add.reduceat(around[order], starts)
-            np.add.at(sums, rows.ravel(), np.repeat(per_word, rows.shape[1], axis=0))
+            if words:
+                held += words + [b""] * WINDOW
+            if len(held) >= POOL_WORDS:
+                add(held)
+                held = []
+    if held:
+        add(held)
+    return sums
+
+
+def pack_sums(chunk: int, sums: np.ndarray) -> tuple[int, bytes, bytes]:
+    """A piece of the table of sums without the rows that are all zero."""
+    at = np.flatnonzero(sums.any(axis=1))
+    return chunk, at.astype("<i4").tobytes(), sums[at].astype("<i8").tobytes()
+
+
+def add_packed(total: np.ndarray, at: bytes, sums: bytes) -> None:
+    """Adds what ``pack_sums`` made to a piece of the table."""
+    total[np.frombuffer(at, "<i4")] += np.frombuffer(sums, "<i8").reshape(-1, DIMS)
+
+
+def corpus_sums(texts: DataFrame) -> np.ndarray:
+    """``context_sums`` of the binary column ``text`` over all rows of ``texts``.
+
+    Each task sums its rows and hands on one table of fixed size in pieces,
+    which are added within groups of tasks, then over the groups.
+    """
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = context_sums(t or b"" for batch in batches for t in batch.column(0).to_pylist())
+        packed = [pack_sums(i, c) for i, c in enumerate(np.split(sums, SUM_CHUNKS)) if c.any()]
+        if packed:
+            yield pa.RecordBatch.from_pydict(dict(zip(("chunk", "at", "sums"), zip(*packed))))
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros((ROWS // SUM_CHUNKS, DIMS), np.int64)
+        for at, sums in zip(table.column("at"), table.column("sums")):
+            add_packed(total, at.as_py(), sums.as_py())
+        packed = pack_sums(table.column("chunk")[0].as_py(), total)
+        return pa.table(dict(zip(("chunk", "at", "sums"), ([v] for v in packed))))
+
+    kind = "chunk bigint, at binary, sums binary"
+    parts = texts.select("text").mapInArrow(contexts, kind)
+    parts = parts.withColumn("piece", F.spark_partition_id() % SUM_GROUPS)
+    parts = parts.groupBy("chunk", "piece").applyInArrow(add, kind)
+    sums = np.zeros((ROWS, DIMS), np.int64)
+    for row in parts.groupBy("chunk").applyInArrow(add, kind).collect():
+        add_packed(np.split(sums, SUM_CHUNKS)[row["chunk"]], row["at"], row["sums"])
     return sums
 
 
@@ -230,7 +302,8 @@ def fit_quality(
 
     They are the first by the hash of their id, held-out rows excluded; a
     label is the mean of its document's, at least 0.5 counting as 1; null ids
-    and labels are left out, and of rows repeating an id one text is used.
+    and labels are left out, and of rows repeating an id one text is used. The
+    word vectors need no labels and come from the texts of all rows of ``docs``.
     Labels of one class only, or none, give a model that scores all 0.5.
     """
     scratch = Scratch(docs.sparkSession, "quality")
@@ -251,21 +324,7 @@ def fit_quality(
     )
     sample = scratch.save(sample.repartition(8, "doc_id"), "sample")
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = context_sums(t or b"" for batch in batches for t in batch.column(0).to_pylist())
-        chunks = [c.astype("<i8").tobytes() for c in np.split(sums, SUM_CHUNKS)]
-        yield pa.RecordBatch.from_pydict({"chunk": range(SUM_CHUNKS), "sums": chunks})
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), "<i8") for c in table.column("sums"))
-        return pa.table({"chunk": table.column("chunk")[:1], "sums": [total.tobytes()]})
-
-    sums = np.zeros((ROWS, DIMS), np.int64)
-    # one table of fixed size from each of at most 8 tasks, added up chunk by chunk
-    parts = sample.select("text").coalesce(8).mapInArrow(contexts, "chunk bigint, sums binary")
-    for row in parts.groupBy("chunk").applyInArrow(add, "chunk bigint, sums binary").collect():
-        np.split(sums, SUM_CHUNKS)[row["chunk"]][:] = np.frombuffer(row["sums"], "<i8").reshape(-1, DIMS)
-    table = word_table(sums)
+    table = word_table(corpus_sums(docs.select(F.col(text_col).cast("string").cast("binary").alias("text"))))
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
