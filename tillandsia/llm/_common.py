@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; set to a local one only if unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on one machine (a ``local`` master) gets a
+    folder of its own there; on any other master, whose executors could not
+    read each other's files, this raises.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
+    return worker_cache(
+        ("shared root", spark.sparkContext.applicationId), lambda: "file://" + tempfile.mkdtemp(prefix="llm-shared-")
+    )
 
 
 class Scratch:
@@ -52,7 +61,7 @@ class Scratch:
 
 
 def worker_cache(key: Any, make: Callable[[], Any]) -> Any:
-    """A value kept for the life of a Python worker, such as a loaded tokenizer."""
+    """A value kept for the life of a Python process, such as a loaded tokenizer."""
     cache = sys.__dict__.setdefault("_llm_worker_cache", {})
     if key not in cache:
         cache[key] = make()

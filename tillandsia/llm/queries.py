@@ -21,6 +21,7 @@ from tillandsia.llm.packing import pack_documents
 from tillandsia.llm.quality import quality_scores
 from tillandsia.llm.sharding import shard_documents
 from tillandsia.llm.token_counts import token_counts
+from tillandsia.llm.token_grammar import read_token_files, write_token_files
 from tillandsia.llm.warc import read_warc, write_warc
 from tillandsia.sources.tables import read_table
 
@@ -123,6 +124,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL)
 
 
+def op13_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the ids of all documents to grammar-compressed files and reads them back."""
+    scratch = Scratch(spark, "token-files")
+    docs = read_table(spark, sf_dir, "documents")
+    files = write_token_files(docs, f"{scratch.path}/files", public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(scratch.save(files, "manifest"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
@@ -134,6 +143,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_packing": op10_packing,
+    "op13_token_grammar": op13_token_grammar,
 }
 
 #: DuckDB SQL of the results that SQL can state. ``translate`` lower-cases A-Z alone. Tokens,
