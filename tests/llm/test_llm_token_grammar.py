@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import random
 import zlib
@@ -56,9 +57,9 @@ def test_whole_table_equals_the_library(spark, library):
     check_order(op13_token_grammar(spark, SF_SMALL).collect(), expected(docs, library))
 
 
-@pytest.mark.parametrize("file_tokens", [1000, 1 << 26])
-def test_tricky_rows(spark, tricky, nothing, library, tmp_path, file_tokens):
-    files = write_token_files(tricky, f"file://{tmp_path}/x", JSON, file_tokens=file_tokens)
+@pytest.mark.parametrize("file_tokens,pattern", [(1000, None), (1 << 26, P.PATTERN)])
+def test_tricky_rows(spark, tricky, nothing, library, tmp_path, file_tokens, pattern):
+    files = write_token_files(tricky, f"file://{tmp_path}/x", JSON, pattern, file_tokens=file_tokens)
     manifest = spark.createDataFrame(files.collect(), files.schema)
     rows = read_token_files(manifest, with_ids=True).collect()
     docs = [(r.doc_id, r.text) for r in tricky.select("doc_id", "text").collect()]
@@ -91,11 +92,26 @@ ALPHABET = st.sampled_from("aab1 '.!\n\t\x0b\x1c\x1d\x85\xa0 　é漢🙂st<|"
 @given(st.lists(st.text(alphabet=ALPHABET, max_size=40), max_size=6))
 def test_segments_give_the_ids_of_whole_texts(texts):
     texts = [*texts, "x<|endoftext|> <|endoftext|>\n y", "a \n  b", "\x1c!\x1c a"]
-    encoder, library = _cached()
-    ids, places = encoder.encode(texts)
-    assert [ids[a:b].tolist() for a, b in zip(places, places[1:])] == [
-        e.ids for e in library.encode_batch(texts, add_special_tokens=False)
-    ]
+    *encoders, library = _cached()
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for encoder in encoders:
+        ids, places = encoder.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(places, places[1:])] == want
+
+
+def test_special_strings_in_long_texts():
+    *encoders, library = _cached()
+    rng = random.Random(8)
+    texts = []
+    for n in (70_000, 140_000):
+        words = ["".join(rng.choices("abc ", k=7)) for _ in range(n // 8)]
+        for at in (0, len(words) // 2, len(words) - 1):
+            words[at] = rng.choice(["<|endoftext|>", "x<|endoftext|>", " <|endoftext|> ", "<|endoftext|"])
+        texts.append("\n".join(words))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for encoder in encoders:
+        ids, places = encoder.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(places, places[1:])] == want
 
 
 _CACHE: list = []
@@ -103,7 +119,7 @@ _CACHE: list = []
 
 def _cached():
     if not _CACHE:
-        _CACHE.extend([T.Encoder(JSON), Tokenizer.from_file(JSON)])
+        _CACHE.extend([T.Encoder(JSON), T.RankEncoder(JSON, P.PATTERN), Tokenizer.from_file(JSON)])
     return _CACHE
 
 
@@ -131,6 +147,12 @@ def test_other_kinds_of_tokenizers_are_refused(tmp_path, library):
         other.save(str(tmp_path / "t.json"))
         with pytest.raises(ValueError):
             T.Encoder(str(tmp_path / "t.json"))
+    spec = json.load(open(JSON))
+    spec["model"]["merges"][300:302] = spec["model"]["merges"][300:302][::-1]
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    T.Encoder(str(tmp_path / "t.json"))
+    with pytest.raises(ValueError):
+        T.RankEncoder(str(tmp_path / "t.json"), P.PATTERN)
 
 
 # grammars

@@ -128,7 +128,8 @@ def op13_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the ids of all documents to grammar-compressed files and reads them back."""
     scratch = Scratch(spark, "token-files")
     docs = read_table(spark, sf_dir, "documents")
-    files = write_token_files(docs, f"{scratch.path}/files", public_tokenizers.path("byte_bpe_50k.json"))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    files = write_token_files(docs, f"{scratch.path}/files", vocabulary, public_tokenizers.PATTERN)
     return read_token_files(scratch.save(files, "manifest"))
 
 

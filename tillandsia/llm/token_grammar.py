@@ -18,6 +18,7 @@ tokens of each nonterminal (8 bytes); symbols.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -32,7 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillandsia.llm._common import Scratch, worker_cache
-from tillandsia.llm.bpe_codec import BATCH_CHARS, batches_of
+from tillandsia.llm.bpe_codec import BATCH_CHARS, CHUNK_CHARS, batches_of, safe_parts
+from tillandsia.llm.token_counts import byte_alphabet
 
 #: Tokens of a block, and tokens after which a task begins a new file.
 BLOCK_TOKENS, FILE_TOKENS = 1 << 21, 1 << 26
@@ -120,6 +122,45 @@ class Encoder:
         return out, places[ends]
 
 
+class RankEncoder:
+    """The same ids by the tiktoken library, with the vocabulary of the tokenizer file.
+
+    Its merges must be in the order of the ids they make, which is what ranks
+    are; other files are refused. Long texts are cut at safe boundaries.
+    """
+
+    def __init__(self, path: str, pattern: str) -> None:
+        import tiktoken
+
+        plain = Encoder(path)
+        with open(path, encoding="utf-8") as f:
+            merges = json.load(f)["model"]["merges"]
+        vocab, alphabet = plain.library.get_vocab(with_added_tokens=False), byte_alphabet()
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if token not in plain.special}
+        made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in merges]
+        if sorted(set(made)) != made or len(made) + 256 != len(ranks):
+            raise ValueError("merges are not in the order of their ids")
+        self.special, self.cut, self.pattern = plain.special, plain.cut, pattern
+        self.encoding = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens=plain.special)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's begin (one place more than texts)."""
+        out, places = [np.empty(0, np.uint32)], [0]
+        for text in texts:
+            if len(text) <= CHUNK_CHARS:
+                parts = [self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())]
+            else:
+                parts = []
+                for plain in self.cut.split(text) if self.cut else [text]:
+                    if plain in self.special:
+                        parts.append(np.array([self.special[plain]], np.uint32))
+                    else:
+                        parts += [self.encoding.encode_to_numpy(p, disallowed_special=()) for p in safe_parts(plain, self.pattern)]
+            out += parts
+            places.append(places[-1] + sum(map(len, parts)))
+        return np.concatenate(out), np.array(places)
+
+
 @dataclass
 class Grammar:
     """``symbols`` from ``first`` on are nonterminals: ``rules[s - first]``, standing for ``lengths[s - first]`` tokens."""
@@ -351,6 +392,7 @@ def write_token_files(
     docs: DataFrame,
     folder: str,
     vocab_path: str,
+    pattern: str | None = None,
     end_id: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -362,7 +404,9 @@ def write_token_files(
     running it writes them. Documents lie in the files in ascending order of
     their ids (``bigint``), files in that of part and number. Ids are those
     of the tokenizer file at ``vocab_path`` (byte-level BPE, readable on every
-    executor) for the whole text, special strings inside it as their one id. A null text counts as empty and has
+    executor) for the whole text, special strings inside it as their one
+    id. With ``pattern``, that by which the tokenizer splits, the same ids come
+    from the tiktoken library, which is faster. A null text counts as empty and has
     only ``end_id``; null ids come last; rows that repeat an id all stay, next
     to each other in no stated order. An empty table writes nothing. Other
     columns are ignored, whatever their names.
@@ -373,7 +417,10 @@ def write_token_files(
     scratch = Scratch(docs.sparkSession, "tokens")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_cache(("encoder", vocab_path), lambda: Encoder(vocab_path))
+        def load() -> Encoder | RankEncoder:
+            return RankEncoder(vocab_path, pattern) if pattern else Encoder(vocab_path)
+
+        encoder = worker_cache(("encoder", vocab_path, pattern), load)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in batches_of(texts, BATCH_CHARS):
