@@ -1,0 +1,128 @@
+"""Clusters by shallot search against plain k-means in Python integers."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL, duckdb_with_views
+
+from tillandsia.llm import centroid_clusters as C
+from tillandsia.llm.centroid_clusters import centroid_clusters, centroid_digest, with_inertia
+from tillandsia.llm.queries import ORACLES, op12_centroid_clusters
+
+
+def plain(rows, k, rounds, dims, scale=256):
+    """``{(vec_id, cluster, distance)}`` counted, and the centroids, all by definition."""
+    kept = [
+        (i, [math.floor(scale * float(c)) for c in v])
+        for i, v in rows
+        if v is not None and len(v) == dims and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    key = lambda r: (r[0] is None, hashlib.sha256(f"2:{r[0]}".encode()).hexdigest() if r[0] is not None else "", r[1])
+    centroids = [x for _, x in sorted(kept, key=key)[:k]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, x in kept:
+            groups.setdefault(nearest(x)[1], []).append(x)
+        centroids = [[sum(c) // len(groups[j]) for c in zip(*groups[j])] if j in groups else c0 for j, c0 in enumerate(centroids)]
+    return Counter((i, nearest(x)[1], nearest(x)[0]) for i, x in kept), centroids
+
+
+def rows_of(kind, n, dims, seed):
+    rng = np.random.default_rng(seed)
+    if kind == "grid":  # many ties and equal vectors
+        x = rng.integers(-2, 3, (n, dims)) / 4
+    elif kind == "clusters":
+        x = rng.normal(size=(6, dims))[rng.integers(0, 6, n)] + rng.normal(0, 0.05, (n, dims))
+    elif kind == "wide":  # integers over 16 bits
+        x = rng.normal(0, 1000, (n, dims))
+    else:
+        x = rng.normal(size=(n, dims))
+    return [(int(i), v.tolist()) for i, v in zip(rng.permutation(n) - n // 3, x)]
+
+
+@pytest.mark.parametrize("kind", ["grid", "clusters", "wide", "noise"])
+def test_clusters_equal_plain_kmeans(spark, kind):
+    rows = rows_of(kind, 300, 5, len(kind))
+    rows += [(5, rows[7][1]), (5, rows[7][1]), (None, rows[3][1]), (None, rows[9][1]), (900, None), (901, []), (902, [1.0] * 4)]
+    rows += [(903, [1.0, None, 1.0, 1.0, 1.0]), (904, [float("nan")] * 5), (905, [float("inf")] + [0.0] * 4), (906, [0.0] * 5)]
+    df = spark.createDataFrame([(i, v, "clash", 1) for i, v in rows], "vec_id bigint, embedding array<double>, cluster string, x int")
+    got, centroids = centroid_clusters(df.repartition(4), k=12, rounds=4, dims=5, block_rows=50)
+    want, final = plain(rows, 12, 4, 5)
+    assert centroids.tolist() == final
+    assert Counter(map(tuple, got.collect())) == want
+    inertia = {r.vec_id: r for r in with_inertia(got, centroids).where("vec_id IS NOT NULL").collect()}
+    for r in inertia.values():
+        assert r.cluster_inertia == sum(d * n for (_, c, d), n in want.items() if c == r.cluster)
+        assert r.inertia == sum(d * n for (_, _, d), n in want.items())
+        assert r.centroid_sha256 == hashlib.sha256(",".join(map(str, final[r.cluster])).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("n,k", [(0, 5), (1, 5), (3, 5), (4, 1), (30, 2)])
+def test_few_vectors(spark, n, k):
+    rows = rows_of("noise", n, 3, 1)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got, centroids = centroid_clusters(df, k=k, rounds=3, dims=3)
+    as_float = [(i, [float(np.float32(c)) for c in v]) for i, v in rows]
+    want, final = plain(as_float, k, 3, 3)
+    assert centroids.tolist() == final and Counter(map(tuple, got.collect())) == want
+    assert with_inertia(got, centroids).count() == n
+
+
+def test_components_too_large_raise(spark):
+    df = spark.createDataFrame([(1, [1e30, 0.0]), (2, [0.0, 0.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="over"):
+        centroid_clusters(df, k=2, rounds=1, dims=2)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_search_from_any_start_and_any_state(seed):
+    rng = np.random.default_rng(seed)
+    k, n, dims = int(rng.integers(2, 30)), 400, int(rng.integers(1, 6))
+    span = int(rng.choice([3, 40, 100_000]))
+    x, c = rng.integers(-span, span, (n, dims)), rng.integers(-span, span, (k, dims))
+    every = ((x[:, None] - c) ** 2).sum(axis=2)
+    near = rng.integers(0, k, n)
+    second = (near + rng.integers(1, k, n)) % k
+    best, other, d1, d2, work = C.shallot(x, c, *C.neighbours(c), near, second)
+    assert np.array_equal(best, every.argmin(axis=1)) and np.array_equal(d1, every.min(axis=1))
+    assert np.array_equal(d2, np.sort(every, axis=1)[:, 1]) and (best != other).all()
+    # bounds over rounds of moving centroids decide as a full comparison does
+    state = [best.astype(np.int32), other.astype(np.int32), np.sqrt(d1.astype(float)), np.sqrt(d2.astype(float))]
+    for step in (0, 1, span // 10 + 1, span):
+        after = c + rng.integers(-step, step + 1, c.shape) * (rng.random((k, 1)) < 0.5)
+        moved = np.sqrt(((after - c) ** 2).sum(axis=1).astype(float)) * (1 + C.MARGIN)
+        c = after
+        C.assign(x, c, *C.neighbours(c), moved, *state)
+        assert np.array_equal(state[0], ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1))
+
+
+def test_search_computes_few_distances_where_there_are_clusters():
+    rng = np.random.default_rng(0)
+    c = rng.integers(-5000, 5000, (40, 8))
+    x = c[rng.integers(0, 40, 2000)] + rng.integers(-50, 50, (2000, 8))
+    near = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
+    state = [near.astype(np.int32), ((near + 1) % 40).astype(np.int32), np.full(2000, np.inf), np.full(2000, -np.inf)]
+    assert C.assign(x, c, *C.neighbours(c), np.zeros(40), *state) <= 2 * 2000
+    assert C.assign(x, c, *C.neighbours(c), np.zeros(40), *state) == 0
+
+
+def test_whole_table_equals_sql_and_plain(spark):
+    rows = op12_centroid_clusters(spark, SF_SMALL).collect()
+    con = duckdb_with_views(SF_SMALL)
+    want = con.execute(ORACLES["op12_centroid_clusters"])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(rows[0].asDict())
+    assert sorted(tuple(r[n] for n in names) for r in rows) == sorted(want.fetchall())
+    table = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
+    want, final = plain(table, 40, 5, 64)
+    assert Counter((r.vec_id, r.cluster, r.distance) for r in rows) == want
+    assert {r.cluster: r.centroid_sha256 for r in rows} == {c: centroid_digest(np.array(final[c])) for _, c, _ in want}

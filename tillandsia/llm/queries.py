@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillandsia.llm._common import Scratch
 from tillandsia.llm.bpe_codec import bpe_round_trip
+from tillandsia.llm.centroid_clusters import centroid_clusters, with_inertia
 from tillandsia.llm.chat_format import chat_examples, loss_text, parsed_turns
 from tillandsia.llm.embedding_dedup import embedding_components
 from tillandsia.llm.exact_dedup import exact_groups
@@ -124,6 +125,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL)
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of 64 components in 40 clusters after 5 rounds."""
+    return with_inertia(*centroid_clusters(read_table(spark, sf_dir, "embeddings")))
+
+
 def op13_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the ids of all documents to grammar-compressed files and reads them back."""
     scratch = Scratch(spark, "token-files")
@@ -144,9 +150,25 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_packing": op10_packing,
+    "op12_centroid_clusters": op12_centroid_clusters,
     "op13_token_grammar": op13_token_grammar,
 }
 
+#: One round of the clustering in SQL: assignments ``a{i}`` by centroids ``c{i}``, and the centroids after it.
+_ASSIGN = """
+a{i} AS MATERIALIZED (
+    SELECT vec_id, x, CAST(m % 1000 AS INTEGER) AS c, CAST(m // 1000 AS BIGINT) AS d FROM (
+        SELECT v.vec_id, v.x, min(1000 * CAST(list_sum(list_transform(list_zip(v.x, c{i}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS HUGEINT) + c{i}.c) AS m
+        FROM v, c{i} GROUP BY v.vec_id, v.x)
+)"""
+_MOVE = """,
+s{i} AS (SELECT c, j, sum(x[j]) AS s, count(*) AS n FROM a{i}, range(1, 65) r(j) GROUP BY c, j),
+c{k} AS MATERIALIZED (
+    SELECT c{i}.c, coalesce(y.x, c{i}.x) AS x FROM c{i}
+    LEFT JOIN (SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY j) AS x FROM s{i} GROUP BY c) y ON y.c = c{i}.c
+),"""
+_ROUNDS = "".join(_ASSIGN.format(i=i) + _MOVE.format(i=i, k=i + 1) for i in range(5)) + _ASSIGN.format(i=5)
+
 #: DuckDB SQL of the results that SQL can state. ``translate`` lower-cases A-Z alone. Tokens,
 #: learned scores, shards and packings it can't state.
 ORACLES = {
@@ -244,5 +266,19 @@ WITH n AS (
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.t) AS text_sha256
 FROM n JOIN g ON n.t = g.t
+""".strip(),
+    "op12_centroid_clusters": f"""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER o - 1 AS INTEGER) AS c, x FROM v
+    WINDOW o AS (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) QUALIFY row_number() OVER o <= 40
+),{_ROUNDS}
+SELECT a.vec_id, a.c AS cluster, a.d AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c5.x, ',')) AS centroid_sha256
+FROM a5 a JOIN c5 ON a.c = c5.c
 """.strip(),
 }
