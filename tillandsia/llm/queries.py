@@ -19,6 +19,7 @@ from tillandsia.llm.embedding_dedup import embedding_components
 from tillandsia.llm.exact_dedup import exact_groups
 from tillandsia.llm.minhash_dedup import minhash_components
 from tillandsia.llm.packing import pack_documents
+from tillandsia.llm.phrase_mining import phrases
 from tillandsia.llm.quality import quality_scores
 from tillandsia.llm.sharding import shard_documents
 from tillandsia.llm.token_counts import token_counts
@@ -125,6 +126,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best collocations."""
+    return phrases(read_table(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings of 64 components in 40 clusters after 5 rounds."""
     return with_inertia(*centroid_clusters(read_table(spark, sf_dir, "embeddings")))
@@ -150,6 +156,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_packing": op10_packing,
+    "op11_phrases": op11_phrases,
     "op12_centroid_clusters": op12_centroid_clusters,
     "op13_token_grammar": op13_token_grammar,
 }
@@ -266,6 +273,35 @@ WITH n AS (
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.t) AS text_sha256
 FROM n JOIN g ON n.t = g.t
+""".strip(),
+    "op11_phrases": r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, m, w[i:i + m - 1] AS p FROM w, range(1, 6) ms(m), range(1, len(w) - m + 2) starts(i)),
+f AS MATERIALIZED (SELECT lang, p, count(*) AS f FROM g GROUP BY lang, p HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+absorbed AS (
+    SELECT DISTINCT x.lang, x.p[i:i + m - 1] AS p FROM f x, range(2, 5) ms(m), range(1, len(x.p) - m + 2) starts(i)
+    JOIN f y ON true WHERE len(x.p) > m AND y.lang = x.lang AND y.p = x.p[i:i + m - 1] AND 100 * x.f >= 100 * y.f
+),
+c AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1 AND (lang, p) NOT IN (SELECT (lang, p) FROM absorbed)),
+cuts AS (
+    SELECT c.lang, c.p, c.a, n.n, x.f AS l, y.f AS r, k,
+        CAST(CAST(1000 AS HUGEINT) * c.a * n.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, len(p))) AS k FROM c) c JOIN n ON n.lang = c.lang
+    JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+    SELECT *, array_to_string(p, ' ') AS phrase,
+        row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, CAST(encode(array_to_string(p, ' ')) AS BLOB)) AS rank
+    FROM lowest
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """.strip(),
     "op12_centroid_clusters": f"""
 WITH v AS MATERIALIZED (
