@@ -82,11 +82,11 @@ COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 @pytest.mark.parametrize(
-    "least,longest,top,percent,group,bits",
-    [(3, 5, 2000, 100, 1 << 20, 26), (2, 5, 7, 100, 8, 4), (3, 4, 50, 60, 40, 26), (2, 2, 2000, 100, 1, 12), (5, 3, 2000, 100, 100, 1)],
+    "least,longest,top,percent,group,bits,pairs",
+    [(3, 5, 2000, 100, 1 << 20, 26, 20), (2, 5, 7, 100, 8, 4, 5), (3, 4, 50, 60, 40, 26, 27), (5, 2, 2000, 100, 1, 12, 14)],
 )
-def test_phrases_equal_counting_by_definition(spark, sample, least, longest, top, percent, group, bits):
-    got = phrases(sample, least, longest, top, percent, group_suffixes=group, bitmap_bits=bits)
+def test_phrases_equal_counting_by_definition(spark, sample, least, longest, top, percent, group, bits, pairs):
+    got = phrases(sample, least, longest, top, percent, group_suffixes=group, bitmap_bits=bits, pair_bits=pairs)
     assert got.columns == list(COLUMNS)
     rows = [tuple(r) for r in got.collect()]
     want = plain([(lang, t) for lang, t in sample_rows()], least, longest, top, percent)
@@ -114,16 +114,13 @@ def batch(rows):
 
 
 def everything(bits=10):
-    m = M.Bitmap({}, bits)
-    m.data = np.full(max(1, 1 << bits >> 3), 255, np.uint8)
-    return m
+    return M.Bitmap(np.full(max(1, 1 << bits >> 3), 255, np.uint8), bits)
 
 
 def members(keys, bits=20):
     """A bitmap of the prefixes in ``keys``, made as the tasks make it."""
     cells = [int(M._cells(k, bits)[0]) for k in keys]
-    m = M.Bitmap({}, bits)
-    m.data = np.zeros(1 << bits >> 3, np.uint8)
+    m = M.Bitmap(np.zeros(1 << bits >> 3, np.uint8), bits)
     for c in cells:
         m.data[c >> 3] |= 1 << (c & 7)
     return m
@@ -158,12 +155,12 @@ def test_groups_hold_every_suffix_once(monkeypatch, batch_words, split):
     heavy = [members([key_of("en", "the")]), members([key_of("en", "the", "the")])]
     for level, prefix in ((1, ("the",)), (2, ("the", "the"))):
         got = Counter()
-        for out in M._prefix_counts(2, everything(), heavy[:level], 5)(iter([batch(rows)])):
+        for out in M._prefix_counts(2, [everything(), everything(7)], heavy[:level], 5)(iter([batch(rows)])):
             for lang, words, k in zip(*(c.to_pylist() for c in out.columns)):
                 got[lang, tuple(word_of[h] for h in words)] += k
         assert got == {k: v for k, v in want.items() if k[0] == "en" and k[1][:level] == prefix and len(k[1]) == level + 1}
     tables = defaultdict(list)
-    for out in M._deal(2, everything(), heavy, 6, 5)(iter([batch(rows)])):
+    for out in M._deal(2, [everything(), everything(7)], heavy, 6, 5)(iter([batch(rows)])):
         for lang, grp, blob in zip(*(c.to_pylist() for c in out.columns)):
             tables[lang, grp].append(blob)
     got = Counter()
@@ -177,6 +174,21 @@ def test_groups_hold_every_suffix_once(monkeypatch, batch_words, split):
     assert got == {k: v for k, v in want.items() if len(k[1]) > 1 and v >= 2 and k not in counted_before}
 
 
+@pytest.mark.parametrize("bits,fan_in,least", [(20, 2, 3), (12, 128, 3), (9, 3, 1), (5, 2, 40)])
+def test_frequent_pairs_are_all_kept(spark, bits, fan_in, least):
+    rows = [(l if l is not None else "und", (t or "").encode()) for l, t in sample_rows()]
+    docs = spark.createDataFrame(rows, "lang string, text binary").repartition(11)
+    bitmap = M.frequent_pairs(docs, 2, everything(), least, bits, fan_in)
+    counts = counted([(l, t.decode()) for l, t in rows], 2)[0]
+    pairs = {k: v for k, v in counts.items() if len(k[1]) == 2}
+    cells = Counter()
+    for (lang, words), n in pairs.items():
+        cells[int(M._cells(key_of(lang, *words), bits)[0])] += n
+    for (lang, words), n in pairs.items():
+        key = key_of(lang, *words)
+        assert bitmap.has(key)[0] == (cells[int(M._cells(key, bits)[0])] >= least)
+
+
 def test_bitmaps_never_miss(spark):
     rng = np.random.default_rng(1)
     rows = [("en" if i % 2 else "de", rng.integers(-(2**63), 2**63 - 1, int(rng.integers(1, 5))).tolist()) for i in range(3000)]

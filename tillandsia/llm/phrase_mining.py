@@ -3,8 +3,9 @@
 The counts of all phrases of up to ``depth`` words come from suffix trees cut
 off at that depth, built apart from each other:
 
-1. Words are counted. Those below the least count are in no phrase wanted, so
-   they only end suffixes.
+1. Words are counted, then pairs of neighbours, those by hash into a table of
+   fixed size. A phrase wanted has no word and no pair below the least count,
+   so these only end suffixes.
 2. Suffixes are divided by their first word; a word that begins more of them
    than one group may hold is extended by the second word, and so on. The
    prefixes so extended are counted on the way, level by level.
@@ -18,7 +19,7 @@ off at that depth, built apart from each other:
 Scores, absorbed phrases and ranks are joins and windows over the nodes.
 Which words are frequent, and which prefixes extended, tasks look up in
 bitmaps of fixed size: a wrong hit there costs a longer suffix or prefix and
-changes no count.
+changes no count, however full they get.
 """
 
 from __future__ import annotations
@@ -37,10 +38,11 @@ from tillandsia.llm._common import Scratch, mix64
 
 #: Suffixes of a group (a soft bound: prefixes are dealt by hash), and of a prefix that is not extended.
 GROUP_SUFFIXES = 1 << 20
-#: Bits of a bitmap, as a power of two.
-BITMAP_BITS = 26
+#: Bits of a bitmap, and cells in which pairs are counted, as powers of two; parts of those cells, and how many
+#: tables of a part are added at a time.
+BITMAP_BITS, PAIR_BITS, PAIR_PARTS, FAN_IN = 26, 27, 10, 128
 #: Words of a batch in a map task, different words whose counts it holds, and bytes of text it splits at a time.
-BATCH_WORDS, COUNT_WORDS, SPLIT_BYTES = 1 << 21, 300_000, 4 << 20
+BATCH_WORDS, COUNT_WORDS, SPLIT_BYTES = 1 << 20, 250_000, 1 << 20
 #: Parts in which each language's best phrases are found first.
 RANK_PARTS = 64
 
@@ -107,16 +109,10 @@ def _counts(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 class Bitmap:
     """A set of prefixes by one hash; never misses a member, may have others."""
 
-    def __init__(self, parts: dict[int, bytes], bits: int) -> None:
-        self.bits, self.parts = bits, parts
-        self.data: np.ndarray | None = None
+    def __init__(self, data: np.ndarray, bits: int) -> None:
+        self.data, self.bits = data, bits
 
     def has(self, key: np.ndarray) -> np.ndarray:
-        if self.data is None:
-            self.data = np.zeros(max(1, (1 << self.bits) >> 3), np.uint8)
-            for k, part in self.parts.items():
-                begin = (k - 1) * 4096
-                self.data[begin : begin + 4096] = np.frombuffer(part, np.uint8)[: len(self.data) - begin]
         cell = _cells(key, self.bits)
         return (self.data[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
@@ -159,28 +155,44 @@ def bitmap_of(prefixes: DataFrame, bits: int = BITMAP_BITS) -> Bitmap:
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
         .collect()
     )
-    return Bitmap({r["k"]: bytes(r["bits"]) for r in rows}, bits)
+    data = np.zeros(max(1, 1 << bits >> 3), np.uint8)
+    for r in rows:
+        part = data[(r["k"] - 1) * 4096 :][:4096]
+        part[:] = np.frombuffer(r["bits"], np.uint8)[: len(part)]
+    return Bitmap(data, bits)
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for; the end of a piece is 0."""
+
+    def __init__(self) -> None:
+        super().__init__({b".": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class _Suffixes:
     """The suffixes of a batch of text: up to ``depth`` local word numbers each, 0 after the end."""
 
-    def __init__(self, words: list[bytes], lang: np.ndarray, langs: list[str], seed: int, frequent: Bitmap, depth: int, skip: int) -> None:
-        numbers: dict[bytes, int] = {b".": 0}
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int32)
-        self.hashes = np.concatenate([[0], word_hashes(list(numbers)[1:], seed)]).astype(np.int64)
+    def __init__(
+        self, ids: np.ndarray, words: list[bytes], lang: np.ndarray, langs: list[str], seed: int, filters: list[Bitmap], depth: int, skip: int
+    ) -> None:
+        self.hashes = np.concatenate([[0], word_hashes(words[1:], seed)]).astype(np.int64)
         self.langs = langs
         start = _begin(_lang_hashes(langs)) if langs else np.empty(0, np.uint64)
         key = _extend(start[lang], self.hashes[ids])
-        ids[~frequent.has(key)] = 0
+        ids[~filters[0].has(key)] = 0
+        after = np.concatenate([ids[1:], [0]]).astype(np.int32)
+        goes_on = (ids > 0) & (after > 0)
+        if len(filters) > 1:
+            pairs = np.flatnonzero(goes_on)
+            goes_on[pairs] = filters[1].has(_extend(key[pairs], self.hashes[after[pairs]]))
         columns = [ids]
         for _ in range(1, depth):
-            after = np.concatenate([columns[-1][1:], [0]]).astype(np.int32)
-            columns.append(after)
-        for d in range(1, depth):
-            columns[d] = np.where(columns[d - 1] > 0, columns[d], 0)
-        kept = np.flatnonzero((columns[0] > 0) & (columns[1] > 0))
-        kept = kept[kept < len(ids) - skip]
+            columns.append(np.where(goes_on, np.concatenate([columns[-1][1:], [0]]), 0).astype(np.int32))
+        kept = np.flatnonzero(goes_on[: max(0, len(ids) - skip)])
         self.columns = [c[kept] for c in columns]
         self.lang = lang[kept]
         self.key = key[kept]
@@ -200,39 +212,114 @@ class _Suffixes:
 
 
 def _suffix_batches(
-    batches: Iterator[pa.RecordBatch], seed: int, frequent: Bitmap, depth: int
+    batches: Iterator[pa.RecordBatch], seed: int, filters: list[Bitmap], depth: int
 ) -> Iterator[_Suffixes]:
-    words: list[bytes] = []
+    numbers = _Numbers()
+    ids: list[np.ndarray] = []
     runs: list[tuple[int, int]] = []
     langs: dict[str, int] = {}
+    size = 0
 
-    def owners() -> np.ndarray:
-        return np.repeat(*np.array(runs, np.int64).reshape(-1, 2).T)
+    def made(skip: int) -> tuple[np.ndarray, list[bytes], np.ndarray, _Suffixes]:
+        joined, words = np.concatenate(ids), list(numbers)
+        lang = np.repeat(*np.array(runs, np.int32).reshape(-1, 2).T)
+        return joined, words, lang, _Suffixes(joined.copy(), words, lang, list(langs), seed, filters, depth, skip)
 
     for batch in batches:
         for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
             number = langs.setdefault(lang, len(langs))
             for chunk in word_chunks(text):
-                words += chunk
+                ids.append(np.fromiter(map(numbers.__getitem__, chunk), np.int32, len(chunk)))
                 runs.append((number, len(chunk)))
-                if len(words) >= BATCH_WORDS:
+                size += len(chunk)
+                if size >= BATCH_WORDS:
                     # the last words' suffixes may go on: they come again with the next ones
-                    again, lang_of = depth - 1, owners()
-                    yield _Suffixes(words, lang_of, list(langs), seed, frequent, depth, again)
-                    words = words[-again:]
-                    runs = [(i, 1) for i in lang_of[-again:].tolist()]
-            words.append(b".")
+                    joined, words, owner, found = made(depth - 1)
+                    yield found
+                    numbers, again = _Numbers(), [words[i] for i in joined[1 - depth :]]
+                    ids, runs = [np.array([numbers[w] for w in again], np.int32)], [(i, 1) for i in owner[1 - depth :].tolist()]
+                    size = len(again)
+            ids.append(np.zeros(1, np.int32))
             runs.append((number, 1))
-    if words:
-        yield _Suffixes(words, owners(), list(langs), seed, frequent, depth, 0)
+            size += 1
+    if ids:
+        yield made(0)[3]
+
+
+def _packed_cells(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending cells and their counts, compressed."""
+    import zstandard
+
+    wide = "<i8" if len(counts) and counts.max() >= 1 << 31 else "<i4"
+    body = np.diff(cells, prepend=0).astype("<i4").tobytes() + counts.astype(wide).tobytes()
+    return len(cells).to_bytes(8, "little") + zstandard.compress(body, 1)
+
+
+def _add_cells(total: np.ndarray, blob: bytes) -> None:
+    import zstandard
+
+    n, body = int.from_bytes(blob[:8], "little"), zstandard.decompress(blob[8:])
+    counts = np.frombuffer(body[4 * n :], "<i8" if len(body) == 12 * n else "<i4")
+    total[np.cumsum(np.frombuffer(body[: 4 * n], "<i4"))] += counts
+
 
+def _pair_cells(seed: int, filters: list[Bitmap], bits: int):
+    """``(part, cells)``: how many pairs of neighbours fall into each cell, for each part of the cells."""
+    low = max(3, bits - PAIR_PARTS)
 
-def _prefix_counts(seed: int, frequent: Bitmap, heavy: list[Bitmap], depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _suffix_batches(batches, seed, filters, 2):
+            cells, counts = np.unique(_cells(s.extend(s.key, 1, np.arange(len(s.key))), bits), return_counts=True)
+            cuts = np.searchsorted(cells, np.arange((1 << bits - low) + 1) << low)
+            parts = np.flatnonzero(np.diff(cuts))
+            blobs = [_packed_cells(cells[a:b] - (p << low), counts[a:b]) for p, a, b in zip(parts, cuts[parts], cuts[parts + 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array(blobs, pa.binary())], names=["part", "cells"])
+
+    return run
+
+
+def frequent_pairs(docs: DataFrame, seed: int, frequent: Bitmap, least: int, bits: int = PAIR_BITS, fan_in: int = FAN_IN) -> Bitmap:
+    """Pairs of neighbours whose cell holds at least ``least`` pairs; ``2**bits`` bits reach the driver.
+
+    Tasks' counts are added in three levels, at most those of ``fan_in`` tasks
+    at a time (up to ``fan_in ** 3`` tasks), which bounds what a task holds.
+    """
+    low = max(3, bits - PAIR_PARTS)
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(1 << low, np.int64)
+        for blob in table.column("cells"):
+            _add_cells(total, blob.as_py())
+        at = np.flatnonzero(total)
+        piece = table.column("piece")[0].as_py() // fan_in
+        return pa.table({"part": [table.column("part")[0].as_py()], "piece": [piece], "cells": [_packed_cells(at, total[at])]})
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                total = np.zeros(1 << low, np.int64)
+                _add_cells(total, blob)
+                bit = np.packbits(total >= least, bitorder="little").tobytes()
+                yield pa.RecordBatch.from_pydict({"part": [part], "bits": [bit]})
+
+    found = docs.mapInArrow(_pair_cells(seed, [frequent], bits), "part bigint, cells binary")
+    found = found.withColumn("piece", F.floor(F.spark_partition_id() / fan_in))
+    for keys in (["part", "piece"], ["part", "piece"], ["part"]):
+        found = found.groupBy(*keys).applyInArrow(add, "part bigint, piece bigint, cells binary")
+    rows = found.select("part", "cells").mapInArrow(often, "part bigint, bits binary").collect()
+    data = np.zeros(max(1, 1 << bits >> 3), np.uint8)
+    for r in rows:
+        begin = (r["part"] << low) >> 3
+        data[begin : begin + (1 << low >> 3)] = np.frombuffer(r["bits"], np.uint8)
+    return Bitmap(data, bits)
+
+
+def _prefix_counts(seed: int, filters: list[Bitmap], heavy: list[Bitmap], depth: int):
     """``(lang, words, n)``: prefixes one word longer than those in all of ``heavy``, counted in a task."""
     level = len(heavy) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in _suffix_batches(batches, seed, frequent, depth):
+        for s in _suffix_batches(batches, seed, filters, depth):
             rows, key = np.arange(len(s.lang)), s.key
             for d, bitmap in enumerate(heavy, 1):
                 keep = bitmap.has(key) & (s.columns[d][rows] > 0)
@@ -281,11 +368,11 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     )
 
 
-def _deal(seed: int, frequent: Bitmap, heavy: list[Bitmap], groups: int, depth: int):
+def _deal(seed: int, filters: list[Bitmap], heavy: list[Bitmap], groups: int, depth: int):
     """``(lang, grp, blob)``: a task's merged suffixes for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in _suffix_batches(batches, seed, frequent, depth):
+        for s in _suffix_batches(batches, seed, filters, depth):
             n = len(s.lang)
             key, prefix, ended = s.key.copy(), np.ones(n, np.int64), np.zeros(n, bool)
             live = np.arange(n)
@@ -363,7 +450,15 @@ def _grow(least: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def phrase_counts(docs: DataFrame, least: int, depth: int, scratch: Scratch, group_suffixes: int = GROUP_SUFFIXES, bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(
+    docs: DataFrame,
+    least: int,
+    depth: int,
+    scratch: Scratch,
+    group_suffixes: int = GROUP_SUFFIXES,
+    bits: int = BITMAP_BITS,
+    pair_bits: int = PAIR_BITS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Counts of ``docs(lang, text binary)``: nodes, words and totals.
 
     ``nodes(lang, words, f)`` are all phrases of up to ``depth`` words that
@@ -384,6 +479,7 @@ def phrase_counts(docs: DataFrame, least: int, depth: int, scratch: Scratch, gro
     words = counted.where("h IS NOT NULL").select("lang", "h", "word", "f")
     nodes = words.select("lang", F.array("h").alias("words"), "f")
     frequent = bitmap_of(nodes, bits)
+    filters = [frequent, frequent_pairs(docs, seed, frequent, least, pair_bits)]
     n = totals.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-n // group_suffixes))
 
@@ -395,12 +491,12 @@ def phrase_counts(docs: DataFrame, least: int, depth: int, scratch: Scratch, gro
         if over.isEmpty():
             break
         heavy.append(bitmap_of(over, bits))
-        longer = docs.mapInArrow(_prefix_counts(seed, frequent, heavy, depth), "lang string, words array<bigint>, n bigint")
+        longer = docs.mapInArrow(_prefix_counts(seed, filters, heavy, depth), "lang string, words array<bigint>, n bigint")
         longer = longer.groupBy("lang", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         last = scratch.save(longer, f"prefixes-{level}")
         nodes = nodes.unionByName(last)
 
-    blobs = docs.mapInArrow(_deal(seed, frequent, heavy, int(groups), depth), "lang string, grp bigint, blob binary")
+    blobs = docs.mapInArrow(_deal(seed, filters, heavy, int(groups), depth), "lang string, grp bigint, blob binary")
     grown = blobs.groupBy("lang", "grp").applyInArrow(_grow(least), "lang string, words array<bigint>, f bigint")
     nodes = nodes.unionByName(scratch.save(grown, "nodes"))
     return nodes, words.drop("f"), totals
@@ -416,6 +512,7 @@ def phrases(
     text_col: str = "text",
     group_suffixes: int = GROUP_SUFFIXES,
     bitmap_bits: int = BITMAP_BITS,
+    pair_bits: int = PAIR_BITS,
 ) -> DataFrame:
     """Each language's ``top`` collocations: ``(lang, rank, phrase, a, l, r, n, score)``.
 
@@ -438,7 +535,7 @@ def phrases(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    nodes, words, totals = phrase_counts(texts, least, longest, scratch, group_suffixes, bitmap_bits)
+    nodes, words, totals = phrase_counts(texts, least, longest, scratch, group_suffixes, bitmap_bits, pair_bits)
 
     # what lies inside a longer phrase lies inside one that is longer by a word and occurs no less often
     size = F.size("words")
