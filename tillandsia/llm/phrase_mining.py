@@ -42,7 +42,7 @@ GROUP_SUFFIXES = 1 << 20
 #: tables of a part are added at a time.
 BITMAP_BITS, PAIR_BITS, PAIR_PARTS, FAN_IN = 26, 27, 10, 128
 #: Words of a batch in a map task, different words whose counts it holds, and bytes of text it splits at a time.
-BATCH_WORDS, COUNT_WORDS, SPLIT_BYTES = 1 << 20, 250_000, 1 << 20
+BATCH_WORDS, COUNT_WORDS, SPLIT_BYTES = 1 << 19, 150_000, 1 << 20
 #: Parts in which each language's best phrases are found first.
 RANK_PARTS = 64
 
