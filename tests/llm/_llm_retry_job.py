@@ -14,14 +14,22 @@ REPO, SF_DIR, MARK_DIR = sys.argv[1:4]
 sys.path.insert(0, REPO)
 
 import public_tokenizers as P  # noqa: E402
+import pyarrow as pa  # noqa: E402
 from pyspark import TaskContext  # noqa: E402
 
+from tillandsia.llm.bpe_codec import bpe_round_trip  # noqa: E402
+from tillandsia.llm.centroid_clusters import centroid_clusters  # noqa: E402
+from tillandsia.llm.chat_format import chat_examples  # noqa: E402
+from tillandsia.llm.embedding_dedup import embedding_components  # noqa: E402
 from tillandsia.llm.exact_dedup import exact_dedup, exact_groups  # noqa: E402
 from tillandsia.llm.minhash_dedup import minhash_components  # noqa: E402
 from tillandsia.llm.packing import pack_documents  # noqa: E402
+from tillandsia.llm.phrase_mining import phrases  # noqa: E402
+from tillandsia.llm.quality import quality_scores  # noqa: E402
 from tillandsia.llm.sharding import shard_documents  # noqa: E402
 from tillandsia.llm.token_counts import token_counts  # noqa: E402
-from tillandsia.llm.warc import read_warc, write_warc  # noqa: E402
+from tillandsia.llm.token_grammar import read_token_files, write_token_files  # noqa: E402
+from tillandsia.llm.warc import archives_in, read_warc, write_warc  # noqa: E402
 from tillandsia.session import build_session  # noqa: E402
 from tillandsia.sources.tables import read_table  # noqa: E402
 
@@ -36,6 +44,16 @@ def failing_first_attempt(batches):
             raise RuntimeError(f"injected failure: partition {ctx.partitionId()}")
 
 
+def other_order_on_retry(batches):
+    """The rows backwards, unless it is the first attempt."""
+    batches = list(batches)
+    if batches:
+        table = pa.Table.from_batches(batches)
+        if TaskContext.get().attemptNumber() > 0:
+            table = table.take(list(range(table.num_rows))[::-1])
+        yield from table.to_batches()
+
+
 def main() -> None:
     spark = build_session(
         "local[4,3]",
@@ -74,6 +92,36 @@ def main() -> None:
     same = {name: sorted(map(str, f(docs).collect())) == sorted(map(str, f(flaky).collect())) for name, f in operators.items()}
     bad_pages = pages.mapInArrow(failing_first_attempt, pages.schema)
     same["warc"] = sorted(map(str, archives(pages, "a").collect())) == sorted(map(str, archives(bad_pages, "b").collect()))
+
+    # fails after the first archives are done; then rows come in another order
+    turned = pages.mapInArrow(other_order_on_retry, pages.schema)
+    manifest = write_warc(turned, f"file://{MARK_DIR}/c", roll_bytes=5000)
+    found = manifest.mapInArrow(failing_first_attempt, manifest.schema).collect()
+    want = sorted(map(str, archives(pages, "d").collect()))
+    by_manifest = spark.createDataFrame([(r.path, r["size"]) for r in found], "path string, size bigint")
+    for name, files in (("warc by manifest", by_manifest), ("warc by folder", archives_in(spark, f"file://{MARK_DIR}/c"))):
+        same[name] = sorted(map(str, read_warc(files).collect())) == want
+
+    vectors, labels = read_table(spark, SF_DIR, "embeddings").repartition(6, "vec_id"), read_table(spark, SF_DIR, "labels")
+    turns = read_table(spark, SF_DIR, "conversations").repartition(6, "conv_id")
+    names = iter(range(10))
+
+    def token_files(d):
+        files = write_token_files(d, f"file://{MARK_DIR}/t{next(names)}", P.path("byte_bpe_50k.json"), P.PATTERN, file_tokens=20_000)
+        rows = files.mapInArrow(failing_first_attempt, files.schema).collect()
+        return read_token_files(spark.createDataFrame(rows, files.schema))
+
+    for name, table, f in (
+        ("embeddings", vectors, embedding_components),
+        ("centroids", vectors, lambda v: centroid_clusters(v)[0]),
+        ("chat", turns, chat_examples),
+        ("quality", docs, lambda d: quality_scores(d, labels)),
+        ("codec", docs, lambda d: bpe_round_trip(d, ranks, P.PATTERN)),
+        ("phrases", docs, lambda d: phrases(d, 20, group_suffixes=500, pair_bits=16)),
+        ("token files", docs, token_files),
+    ):
+        bad = table.mapInArrow(failing_first_attempt, table.schema)
+        same[name] = sorted(map(str, f(table).collect())) == sorted(map(str, f(bad).collect()))
     spark.stop()
     print(json.dumps(same))
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 #: Columns whose names the operators use themselves.
-CLASHING = ("kept", "component_id", "shard", "rank", "key", "cid", "text_hash", "ids", "score", "length", "n", "v")
+CLASHING = ("__id", "__hash", "__score", "id_that_stays", "HASH_that_stays", "score_of_text", "hash_of_text", "content_of_text", "kept", "component_id", "shard", "rank", "key", "cid", "text_hash", "ids", "score", "length", "n", "v")
 
 
 def prose(rng: random.Random, words: int) -> str:

@@ -260,3 +260,12 @@ def test_embeddings_of_tricky_rows(spark):
     want = embedding_truth([(i, [x * 1e200 for x in v] if v and v[0] == 1e-200 else v) for i, v in rows], 0.95)
     assert Counter(map(tuple, embedding_components(df, 0.95, block_rows=64).collect())) == want
     assert embedding_components(df.where("vec_id < 0")).count() == 0
+
+
+def test_near_dedup_of_string_ids(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [("10", text), ("9", text + " more"), ("7", "other words than these are kept too"), (None, None), ("8", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    kept = near_dedup(docs)
+    assert kept.schema == docs.schema
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["7", "8", "9", "None"]

@@ -21,5 +21,5 @@ def test_retried_tasks_give_the_same_rows(tmp_path):
     )
     assert out.returncode == 0, out.stderr[-3000:]
     same = json.loads(out.stdout.strip().splitlines()[-1])
-    assert len(same) == 7 and all(same.values()), same
-    assert sum(name[0].isdigit() for name in os.listdir(tmp_path)) >= 7
+    assert len(same) == 16 and all(same.values()), same
+    assert sum(name[0].isdigit() for name in os.listdir(tmp_path)) >= 14

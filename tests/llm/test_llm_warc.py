@@ -152,3 +152,26 @@ def test_records_without_a_whole_header_raise(header, match):
     data = gzip.compress(header)
     with pytest.raises(ValueError, match=match):
         scanned(data, 0, len(data))
+
+
+def test_record_ids_are_unique_and_referred_to(spark, tmp_path):
+    rows = [(3, "u", "same"), (3, "u", "same"), (3, "v", "same"), (3, "u", "other"), (9, "u", "same"), (9, "u", "same")]
+    rows += [(None, "u", "same"), (None, "u", "same"), (None, None, None), (None, None, None), (4, "x:y", ""), (5, "z", None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    found = write_warc(df, f"file://{tmp_path}/w").collect()
+    ids, refers = [], []
+    for r in found:
+        data = open(r.path.removeprefix("file://"), "rb").read()
+        for fields, _, _ in scan_range(BytesFile(data), len(data), 0, len(data)):
+            ids.append(fields["warc-record-id"])
+            refers.append(fields.get("warc-refers-to"))
+    assert len(ids) == len(set(ids)) == len(rows)
+    assert {r for r in refers if r} <= set(ids) and sum(r is not None for r in refers) == 7
+
+
+class BytesFile:
+    def __init__(self, data):
+        self.data = data
+
+    def read_at(self, n, at):
+        return self.data[at : at + n]

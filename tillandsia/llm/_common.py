@@ -68,6 +68,14 @@ def worker_cache(key: Any, make: Callable[[], Any]) -> Any:
     return cache[key]
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """``stem``, made longer until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift and multiply), element by element."""
     x = x ^ (x >> np.uint64(30))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tillandsia.llm._common import Scratch
+from tillandsia.llm._common import Scratch, free_name
 
 #: Bytes of contents that a task's table holds before it is flushed or spilled.
 TABLE_BYTES = 96 << 20
@@ -184,11 +184,12 @@ def exact_dedup(
     Texts are equal when identical after lower-casing A-Z; null counts as
     empty, and a null id as smaller than any other. Of rows that repeat the
     largest id one stays. An empty table gives an empty table. Columns may
-    have any names but ``__hash`` and ``__content``.
+    have any names.
     """
     schema = docs.schema
+    hash_name, content_name = free_name(docs, "hash_of_text"), free_name(docs, "content_of_text")
     held = StructType(
-        [*schema.fields, StructField("__hash", LongType()), StructField("__content", BinaryType())]
+        [*schema.fields, StructField(hash_name, LongType()), StructField(content_name, BinaryType())]
     )
     names = schema.names
     id_at = names.index(id_col)
@@ -224,10 +225,10 @@ def exact_dedup(
         )
         yield from out(grace(records, _larger, budget), out_arrow, False)
 
-    with_bytes = docs.withColumn("__content", F.col(f"`{text_col}`").cast("string").cast("binary"))
+    with_bytes = docs.withColumn(content_name, F.col(f"`{text_col}`").cast("string").cast("binary"))
     return (
         with_bytes.mapInArrow(local, held)
-        .repartition("__hash")
+        .repartition(hash_name)
         .mapInArrow(final, schema)
     )
 

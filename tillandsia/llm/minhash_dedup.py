@@ -11,8 +11,8 @@ compares its members with one centre, verified links join components, and
 buckets whose members are all in one component are done. Members of what is
 left are compared block by block inside tasks, only across components, which
 return the components they join and no pairs. So a thousand copies of one page
-cost a few thousand comparisons, and no pair that could join two components is
-left out.
+cost a few thousand comparisons, and no pair that shares a bucket and could
+join two components is left out.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillandsia.llm._common import Scratch, connected_components, shingle_hashes
+from tillandsia.llm._common import Scratch, connected_components, free_name, shingle_hashes
 
 #: Hashes of a signature, and how many are compared at a time.
 HASHES, BATCH = 144, 16
@@ -122,7 +122,8 @@ def minhash_components(
     links, itself included; ``kept``: it is the row's own. A null id counts as
     larger than any other and is no component's id unless it has no other;
     rows that repeat an id are documents of their own. ``text_hash`` is
-    Spark's ``xxhash64`` of the text, to find the row again. An empty table
+    Spark's ``xxhash64`` of the text, to find the row again. Ids are cast to
+    ``bigint``. An empty table
     gives an empty table. Other columns are ignored, whatever their names.
     """
     spark, similarity = docs.sparkSession, percent / 100
@@ -369,13 +370,18 @@ def near_dedup(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each group the smallest id.
 
-    Groups are the components of ``minhash_components``. Rows that repeat the
-    id that stays, in one group, all stay; exact deduplication before removes
-    those with equal texts.
+    Groups are the components of ``minhash_components``; ids are integers, or
+    strings of digits, compared as ``bigint`` (others raise). Rows that repeat
+    the id that stays, in one group, all stay; exact deduplication before
+    removes those with equal texts. Null and empty texts, and those without
+    words, link with nothing and stay; rows with a null id stay if no row of
+    their group has one. An empty table gives an empty table. Columns may have
+    any names.
     """
     found = minhash_components(docs, words, percent, id_col=id_col, text_col=text_col)
-    stay = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("__id")) & (
-        F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("__hash")
-    )
+    id_name, hash_name = free_name(docs, "id_that_stays"), free_name(docs, "hash_that_stays")
+    stay = found.where("kept").select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name)).distinct()
+    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(id_name)) & F.xxhash64(
+        F.col(f"`{text_col}`").cast("string")
+    ).eqNullSafe(F.col(hash_name))
     return docs.join(stay, same, "left_semi")

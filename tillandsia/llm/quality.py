@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillandsia.llm._common import Scratch, mix64, worker_cache
+from tillandsia.llm._common import Scratch, free_name, mix64, worker_cache
 
 #: Rows of the vector table (features share them by hash), dimensions, and signs in an index vector.
 ROW_BITS, DIMS, SIGNS = 15, 48, 6
@@ -523,9 +523,10 @@ def keep_good(
     """The rows of ``docs`` whose score is at least ``threshold``, all columns as they are.
 
     Without labels of both classes there is nothing to judge by: all rows stay.
-    Columns may have any names but ``__score``.
+    Columns may have any names.
     """
     model = fit_quality(docs, labels, id_col=id_col, text_col=text_col)
     if not model.fitted:
         return docs
-    return with_score(docs, model, "__score", text_col).where(F.col("__score") >= threshold).drop("__score")
+    name = free_name(docs, "score_of_text")
+    return with_score(docs, model, name, text_col).where(F.col(name) >= threshold).drop(name)

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tillandsia.llm._common import worker_cache
 
-#: Pre-tokens whose counts a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+#: Pre-tokens whose counts a worker remembers, and their characters, before it starts afresh.
+CACHE_WORDS, CACHE_CHARS = 400_000, 8 << 20
 #: Characters of text counted at a time, which bounds a worker's memory.
 BATCH_CHARS = 1 << 21
 #: Bytes of pre-tokens merged at a time.
@@ -126,10 +126,10 @@ def token_counts(
         special = [s for s in table.special if s]
         cut = regex.compile("|".join(regex.escape(s) for s in special)) if special else None
         known: dict[str, int] = worker_cache(("counts", vocab_path, pattern), dict)
+        held: dict[str, int] = worker_cache(("characters", vocab_path, pattern), lambda: {"n": 0})
 
         def learn(words: list[str]) -> None:
-            if len(known) + len(words) > CACHE_WORDS:
-                known.clear()
+            held["n"] += sum(map(len, words))
             raw = [w.encode() for w in words]
             begin, size = 0, 0
             for i, word in enumerate(raw):
@@ -146,9 +146,9 @@ def token_counts(
                 rows.append(split(text) if len(parts) == 1 else [w for p in parts for w in split(p)])
             seen = set().union(*rows)
             new = [w for w in seen if w not in known]
-            if len(known) + len(new) > CACHE_WORDS:
+            if len(known) + len(new) > CACHE_WORDS or held["n"] + sum(map(len, new)) > CACHE_CHARS:
                 known.clear()
-                new = list(seen)
+                held["n"], new = 0, list(seen)
             if new:
                 learn(new)
             get = known.__getitem__

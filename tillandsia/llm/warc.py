@@ -48,14 +48,19 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record_id(page_id: str) -> str:
-    return f"<urn:x-page:{quote(page_id, safe='')}>"
+def _record_id(page_id: str | None, digest: str, nth: int = 0) -> str:
+    name = "null" if page_id is None else "page:" + quote(page_id, safe="")
+    return f"<urn:x-{name}:{digest}{f':{nth}' if nth else ''}>"
 
 
 def record_member(
-    page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, date: str = DATE
+    page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, date: str = DATE, nth: int = 0
 ) -> bytes:
-    """One record as one gzip member; ``refers_to`` (a page id) makes it a revisit."""
+    """One record as one gzip member; ``refers_to`` (a page id) makes it a revisit.
+
+    A record's id is made of the page's id, the payload's digest and, for
+    rows that repeat both, ``nth``.
+    """
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
         f"Content-Length: {len(payload)}\r\n\r\n"
@@ -63,11 +68,10 @@ def record_member(
     revisit = refers_to is not None
     digest = payload_digest(payload)
     block = http if revisit else http + payload
-    name = page_id if page_id is not None else f"null {digest}"
     head = [
         WARC_VERSION,
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {_record_id(name)}",
+        f"WARC-Record-ID: {_record_id(page_id, digest, nth)}",
         f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha1:{digest}",
     ]
@@ -76,7 +80,7 @@ def record_member(
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=~-._')}")
     if revisit:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {_record_id(refers_to)}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {_record_id(refers_to, digest)}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     data = ("\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
     pack = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -100,9 +104,11 @@ def write_warc(
     is never referred to: equal payloads without any id are all responses. An empty
     table writes nothing. Other columns are ignored, whatever their names.
 
-    A task writes under a name of its own attempt and renames it at its end
-    to one that follows from the partition, so a task that ran twice leaves
-    one archive.
+    Rows are sorted within a partition, so every attempt of a task writes the
+    same archives byte for byte. It writes them under a name of its own and
+    renames them to one that follows from the partition: a task that ran
+    twice, or failed half-way, leaves nothing else. Records of one id and
+    payload are numbered within their task.
     """
     rows = pages.select(
         F.col(id_col).alias("page_id"),
@@ -123,7 +129,8 @@ def write_warc(
             F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")),
             F.col("first_id").cast("string"),
         ).alias("refers_to"),
-    )
+        "digest",
+    ).sortWithinPartitions("digest", "page_id", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as pafs
@@ -131,6 +138,7 @@ def write_warc(
         store, base = pafs.FileSystem.from_uri(folder)
         task = TaskContext.get()
         out, size, records, k = None, 0, 0, 0
+        last, nth = None, 0
 
         def names() -> tuple[str, str]:
             final = f"{base}/part-{task.partitionId():06d}-{k:04d}.warc.gz"
@@ -143,11 +151,13 @@ def write_warc(
             return pa.RecordBatch.from_pydict({"path": [path], "size": [size], "records": [records]})
 
         for batch in batches:
-            for page_id, url, payload, refers in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, url, payload, refers, digest in zip(*(c.to_pylist() for c in batch.columns)):
+                nth = nth + 1 if (page_id, digest) == last else 0
+                last = page_id, digest
                 if out is None:
                     store.create_dir(f"{base}/_attempts", recursive=True)
                     out, size, records = store.open_output_stream(names()[0], compression=None), 0, 0
-                member = record_member(page_id, url, payload, refers)
+                member = record_member(page_id, url, payload, refers, nth=nth)
                 out.write(member)
                 size, records = size + len(member), records + 1
                 if size >= roll_bytes:
@@ -176,17 +186,16 @@ class _Window:
 def _magic(window: _Window, at: int, end: int) -> int | None:
     """The first place of the gzip magic that is in ``[at, end)``."""
     while at < end:
-        block = bytes(window.get(at, WINDOW))
-        if len(block) < len(GZIP_MAGIC):
-            more = bytes(window.file.read_at(min(WINDOW, window.size - at), at))
-            if len(more) < len(GZIP_MAGIC):
+        if not len(window.get(at, 1)):
+            return None
+        if window.base + len(window.data) - at < len(GZIP_MAGIC):
+            window.base, window.data = at, window.file.read_at(min(WINDOW, window.size - at), at)
+            if len(window.data) < len(GZIP_MAGIC):
                 return None
-            window.base, window.data = at, more
-            continue
-        found = block.find(GZIP_MAGIC)
+        found = window.data.find(GZIP_MAGIC, at - window.base)
         if found >= 0:
-            return at + found if at + found < end else None
-        at += len(block) - len(GZIP_MAGIC) + 1
+            return window.base + found if window.base + found < end else None
+        at = window.base + len(window.data) - len(GZIP_MAGIC) + 1
     return None
 
 
@@ -277,7 +286,7 @@ def _page(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple:
         kind,
         n_bytes,
         digest,
-        unquote(refers.removeprefix("<urn:x-page:").removesuffix(">")) if refers else None,
+        unquote(refers.removeprefix("<urn:x-page:").removesuffix(">").partition(":")[0]) if refers else None,
         payload if with_payload else None,
     )
 
