@@ -269,3 +269,29 @@ def test_near_dedup_of_string_ids(spark):
     kept = near_dedup(docs)
     assert kept.schema == docs.schema
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["7", "8", "9", "None"]
+
+
+def test_vectors_of_many_lengths(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for size, n in ((8, 200), (3, 40), (1, 12), (500, 6), (300_000, 2)):
+        heads = rng.normal(size=(max(1, n // 4), size))
+        rows += [(heads[k % len(heads)] + rng.normal(0, 0.08, size)).tolist() for k in range(n)]
+    rows = [(int(i), v) for i, v in zip(rng.permutation(len(rows)), rows)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_components(df, 0.95, block_rows=64).collect()}
+    links, root = {i: 0 for i, _ in rows}, {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    units = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    for i, u in units.items():
+        for j, w in units.items():
+            if i < j and len(u) == len(w) and u @ w >= 0.95:
+                links[i], links[j] = links[i] + 1, links[j] + 1
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert got == {i: (links[i], find(i)) for i in links} and sum(links.values()) > 200

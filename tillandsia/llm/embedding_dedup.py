@@ -39,14 +39,19 @@ TILE = 1024
 
 
 def unit_rows(vectors: pa.Array, dims: int) -> np.ndarray:
-    """A list column as rows of length 1 in double precision; shorter ones end in zeros."""
+    """The first ``dims`` components of a list column's rows at length 1, in double precision; shorter ones end in zeros."""
     length = vectors.value_lengths().to_numpy()
-    begin = np.cumsum(length) - length
     out = np.zeros((len(vectors), dims))
+    if not len(length):
+        return out
+    begin, flat = np.cumsum(length) - length, vectors.flatten().to_numpy()
+    flat = flat / np.repeat(np.maximum.reduceat(np.abs(flat), begin), length)
+    flat /= np.repeat(np.sqrt(np.add.reduceat(flat * flat, begin)), length)
     row = np.repeat(np.arange(len(vectors)), length)
-    out[row, np.arange(len(row)) - begin[row]] = vectors.flatten().to_numpy()
-    out /= np.abs(out).max(axis=1, keepdims=True, initial=0)
-    return out / np.linalg.norm(out, axis=1, keepdims=True)
+    place = np.arange(len(row)) - begin[row]
+    kept = place < dims
+    out[row[kept], place[kept]] = flat[kept]
+    return out
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -149,7 +154,7 @@ def embedding_components(
         classes.orderBy(F.col("first_id").asc_nulls_last()).withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    n, dims = classes.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    n, mean = classes.agg(F.count(F.lit(1)), F.avg(F.size("v"))).first()
     alone = rows.where("NOT usable").select(
         "vec_id",
         F.lit(0).cast("bigint").alias("n_links"),
@@ -158,9 +163,12 @@ def embedding_components(
     )
     if not n:
         return alone
-    block_rows = max(64, min(block_rows, FIT_BYTES // (8 * dims)))
+    block_rows = max(64, min(block_rows, int(FIT_BYTES // (8 * mean))))
+    # centres have the sample's most common length; of longer vectors they see the first components
+    common = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE_ROWS).groupBy(F.size("v").alias("s")).count()
+    dims = common.orderBy(F.col("count").desc(), "s").first()["s"]
     most = max(1, min(SAMPLE_ROWS, FIT_BYTES // (8 * dims)))
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(most).select("v").collect()
+    sample = classes.where(F.size("v") == int(dims)).orderBy(F.xxhash64("cid"), "cid").limit(most).select("v").collect()
     k = max(1, min(MAX_CELLS, len(sample) // 4, -(-n // block_rows)))
     centres = spherical_kmeans(unit_rows(pa.array([r["v"] for r in sample], pa.list_(pa.float64())), dims), k)
 
@@ -214,19 +222,22 @@ def embedding_components(
         table = table.combine_chunks()
         cid, copies, role = (table.column(c).to_numpy() for c in ("cid", "copies", "role"))
         vectors = pa.concat_arrays(table.column("v").chunks)
-        length, x = vectors.value_lengths().to_numpy(), unit_rows(vectors, dims)
-        home, come = np.flatnonzero(role == RESIDENT), np.flatnonzero(role != RESIDENT)
+        length = vectors.value_lengths().to_numpy()
         # labels run over distinct classes in the order of their numbers
         order, place = np.unique(cid, return_inverse=True)
         labels, links = np.arange(len(order)), np.zeros(len(order), np.int64)
-        for i, j in linked_pairs(x[come], x[home], threshold):
-            i, j = come[i], home[j]
-            # residents of one cell meet twice, and themselves
-            ok = ((role[i] == VISITOR) | (cid[i] < cid[j])) & (length[i] == length[j])
-            i, j = i[ok], j[ok]
-            np.add.at(links, place[i], copies[j])
-            np.add.at(links, place[j], copies[i])
-            labels = merge_labels(labels, place[i], place[j])
+        # vectors link with those of their own length only, so a long one lengthens no other
+        for size in np.unique(length[role == RESIDENT]):
+            home, come = (np.flatnonzero((length == size) & at) for at in (role == RESIDENT, role != RESIDENT))
+            x, y = (unit_rows(vectors.take(pa.array(at)), int(size)) for at in (come, home))
+            for i, j in linked_pairs(x, y, threshold):
+                i, j = come[i], home[j]
+                # residents of one cell meet twice, and themselves
+                ok = (role[i] == VISITOR) | (cid[i] < cid[j])
+                i, j = i[ok], j[ok]
+                np.add.at(links, place[i], copies[j])
+                np.add.at(links, place[j], copies[i])
+                labels = merge_labels(labels, place[i], place[j])
         some = np.flatnonzero((links > 0) | (labels != np.arange(len(order))))
         return pa.table({"cid": order[some], "links": links[some], "root": order[labels[some]]})
 
