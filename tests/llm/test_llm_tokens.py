@@ -72,6 +72,23 @@ def test_merging_equals_the_library_for_any_texts(texts):
     assert [sum(next(counts) for _ in ws) for ws in words] == [len(x) for x in ids_of(library, texts)]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="abent", min_size=1, max_size=300), min_size=1, max_size=6))
+def test_merging_long_words_equals_merging_short_ones(words):
+    merges, _ = _cached()
+    raw = [w.encode() for w in words] + [b"a" * 257, b"ab" * 200]
+    assert merges.count_long(raw).tolist() == merges.count_short(raw).tolist() == merges.count(raw).tolist()
+
+
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "ab", "a", "é漢x"])
+def test_one_unbroken_run_of_a_megabyte(spark, library, alphabet):
+    rng = random.Random(3)
+    text = "".join(rng.choices(alphabet, k=1_000_000 // len(alphabet[0].encode())))
+    docs = spark.createDataFrame([(1, text), (2, text[:70_000] + " " + text[:300])], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts(docs, JSON, P.PATTERN).collect()}
+    assert got == {r.doc_id: len(ids_of(library, [r.text])[0]) for r in docs.collect()}
+
+
 _CACHE: list = []
 
 

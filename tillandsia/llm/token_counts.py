@@ -3,14 +3,17 @@
 Pre-tokens that are new to a worker are held as one ragged numpy array of
 byte symbols. In each round every pre-token merges all places of its own
 lowest-ranked pair at once, until none has a mergeable pair left; the
-surviving symbols are its tokens. Counts of pre-tokens seen before are looked
-up, so a word is merged once per worker, not once per place.
+surviving symbols are its tokens. Long pre-tokens go through the same rounds
+with their places kept by rank, so that a round touches only what it merges.
+Counts of pre-tokens seen before are looked up, so a word is merged once per
+worker, not once per place.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,8 @@ from tillandsia.llm._common import worker_cache
 CACHE_WORDS, CACHE_CHARS = 400_000, 8 << 20
 #: Characters of text counted at a time, which bounds a worker's memory.
 BATCH_CHARS = 1 << 21
-#: Bytes of pre-tokens merged at a time.
-MERGE_BYTES = 1 << 20
+#: Bytes of pre-tokens merged at a time, and of one from which on its places are kept by rank.
+MERGE_BYTES, LONG_BYTES = 1 << 20, 256
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -60,6 +63,16 @@ class MergeTable:
 
     def count(self, words: list[bytes]) -> np.ndarray:
         """How many symbols each of ``words`` (not empty) keeps after all merges."""
+        long = np.fromiter((len(w) >= LONG_BYTES for w in words), bool, len(words))
+        if not long.any():
+            return self.count_short(words)
+        counts = np.empty(len(words), np.int64)
+        counts[long] = self.count_long([w for w in words if len(w) >= LONG_BYTES])
+        counts[~long] = self.count_short([w for w in words if len(w) < LONG_BYTES])
+        return counts
+
+    def count_short(self, words: list[bytes]) -> np.ndarray:
+        """``count`` by rounds that each go over all symbols left."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), lengths)
@@ -98,6 +111,58 @@ class MergeTable:
             rank[-1] = self.none
         return counts
 
+    def count_long(self, words: list[bytes]) -> np.ndarray:
+        """``count`` by rounds that each touch only the places of one rank.
+
+        A symbol stays where it begins, linked to those beside it; places wait
+        under their rank, and those that changed meanwhile are passed over.
+        Words whose lowest rank is higher than a round's hold none of its
+        places, so one round serves all words.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        owner, size = np.repeat(np.arange(len(words)), lengths), len(symbols)
+        before, after = np.arange(-1, size - 1), np.arange(1, size + 1)
+        alive, rank = np.ones(size, bool), np.full(size, self.none, np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def refresh(places: np.ndarray) -> None:
+            """Ranks of the pairs that begin at ``places``, and the places under them."""
+            right = np.minimum(after[places], size - 1)
+            fresh = self.rank(symbols[places], symbols[right])
+            fresh[(after[places] == size) | (owner[places] != owner[right])] = self.none
+            rank[places] = fresh
+            places, fresh = places[fresh < self.none], fresh[fresh < self.none]
+            order = np.argsort(fresh, kind="stable")
+            places, fresh = places[order], fresh[order]
+            begin = np.flatnonzero(np.r_[True, fresh[1:] != fresh[:-1]]) if len(fresh) else fresh
+            for r, a, b in zip(fresh[begin].tolist(), begin, [*begin[1:], len(fresh)]):
+                if r not in waiting:
+                    waiting[r] = []
+                    heappush(queue, r)
+                waiting[r].append(places[a:b])
+
+        refresh(np.arange(size))
+        while queue:
+            lowest = heappop(queue)
+            at = np.unique(np.concatenate(waiting.pop(lowest)))
+            at = at[rank[at] == lowest]
+            if not len(at):
+                continue
+            # of overlapping places (a a a) every other one merges, from the left
+            run = np.flatnonzero(np.r_[True, after[at[:-1]] != at[1:]])
+            nth = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
+            at = at[nth % 2 == 0]
+            gone = after[at]
+            symbols[at], alive[gone], rank[gone] = self.merged[lowest], False, self.none
+            after[at] = after[gone]
+            inner = at[after[at] < size]
+            before[after[inner]] = inner
+            left = before[at]
+            refresh(np.unique(np.r_[at, left[left >= 0]]))
+        return np.bincount(owner[alive], minlength=len(words))
+
 
 def token_counts(
     docs: DataFrame,
