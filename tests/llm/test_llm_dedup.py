@@ -178,6 +178,20 @@ def test_documents_that_share_buckets_without_linking(spark):
     assert near_dedup(docs).count() == len(rows)
 
 
+def test_a_bucket_of_very_many_documents_that_do_not_link(spark):
+    """Thousands share bands without linking; of a few planted pairs none is lost among them."""
+    rng = random.Random(12)
+    common = [f"c{i}" for i in range(80)]
+    rows = [(i, " ".join(common + [f"u{i}x{k}" for k in range(22)])) for i in range(3000)]
+    twins = rng.sample(range(3000), 40)
+    # the last word changed: 1 of 100 shingles differs
+    rows += [(5000 + i, rows[i][1].rsplit(" ", 1)[0] + " other") for i in twins]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_components(docs, 3, 85, block_rows=32).collect()}
+    # any two of the others share 78 of 122 shingles
+    assert got == {i: (100, i - 5000 if i >= 5000 else i) for i, _ in rows}
+
+
 def test_near_dedup_keeps_the_smallest_id_with_all_columns(tricky, nothing):
     rows = [(r.doc_id, r.text) for r in exact_dedup(tricky).collect()]
     docs = exact_dedup(tricky).cache()

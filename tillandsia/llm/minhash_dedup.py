@@ -9,10 +9,13 @@ miss probability; what survives is verified on the full shingle sets.
 Buckets are not expanded into all pairs. In each of a few rounds, every bucket
 compares its members with one centre, verified links join components, and
 buckets whose members are all in one component are done. Members of what is
-left are compared block by block inside tasks, only across components, which
-return the components they join and no pairs. So a thousand copies of one page
-cost a few thousand comparisons, and no pair that shares a bucket and could
-join two components is left out.
+left are compared block by block inside tasks, only across components: first
+signatures alone, in wide blocks; then the full sets of the members with a
+partner that survives, in tasks that return the components they join and no
+pairs. So a thousand copies of one page cost a few thousand comparisons, a
+member without such a partner never moves its set, and every pair that shares
+a bucket and could join two components is compared (banding and pruning miss a
+similar pair with the chances ``BAND_MISS`` and ``MISS``).
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ HASHES, BATCH = 144, 16
 BAND_MISS, MISS = 1e-4, 1e-6
 #: Rounds in which buckets compare their members with one centre.
 STAR_ROUNDS = 4
-#: Members of a block where a bucket's components are compared.
-BLOCK_ROWS = 128
+#: Members of a block whose full sets meet in a task, and how many such blocks' signatures do.
+BLOCK_ROWS, WIDE = 128, 16
 #: Multipliers of the signature's hash functions.
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -288,31 +291,65 @@ def minhash_components(
         if active.isEmpty():
             break
 
-    # what is left: block against block, only across components
+    # what is left: block against block, only across components; first signatures alone, in wide blocks
     ways = F.ceil(F.col("n") / block_rows).cast("int")
+    wide = F.floor(F.col("block") / WIDE).cast("int")
     dealt = (
         active.join(sig_of, "cid")
-        .join(sets, "cid")
         .withColumn("block", F.pmod(F.xxhash64("cid"), ways).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), ways - 1)))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((ways - 1) / WIDE).cast("int"))))
         .select(
             "key",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
+            F.least(wide, "other").alias("i"),
+            F.greatest(wide, "other").alias("j"),
             "band",
             "block",
             "cid",
             "root",
             "sig",
-            "shingles",
         )
     )
 
+    def partners(
+        left: np.ndarray, right: np.ndarray, root: np.ndarray, sig: np.ndarray, band: int
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """Each row of ``left`` with those of ``right`` that survive beside it, every pair once."""
+        begin, both_ways = band * rows_per_band, left is not right
+        for p in left:
+            q = right[(root[right] != root[p]) & ((right > p) | both_ways)]
+            q = q[survivors(sig[q], np.broadcast_to(sig[p], (len(q), HASHES)), similarity, miss)]
+            # a pair that meets in several buckets is compared in that of its first common band
+            same = sig[q, :begin].reshape(len(q), band, rows_per_band) == sig[p, :begin].reshape(band, rows_per_band)
+            q = q[~same.all(axis=2).any(axis=1)]
+            if len(q):
+                yield p, q
+
+    def likely_members(table: pa.Table) -> pa.Table:
+        """The members with a partner that survives, once for each pair of narrow blocks in which they have one."""
+        table = table.combine_chunks()
+        i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
+        block, root = table.column("block").to_numpy(), table.column("root").to_numpy()
+        left = np.flatnonzero(block // WIDE == i)
+        right = left if i == j else np.flatnonzero(block // WIDE == j)
+        wanted = np.zeros((len(block), WIDE * WIDE), bool)
+        for p, q in partners(left, right, root, _signatures(table.column("sig")), band):
+            at = (np.minimum(block[p], block[q]) - i * WIDE) * WIDE + np.maximum(block[p], block[q]) - j * WIDE
+            wanted[p, at] = wanted[q, at] = True
+        row, at = np.nonzero(wanted)
+        out = table.take(pa.array(row))
+        for name, column in (("i", at // WIDE + i * WIDE), ("j", at % WIDE + j * WIDE)):
+            place = out.schema.get_field_index(name)
+            out = out.set_column(place, name, pa.array(column, pa.int32()))
+        return out
+
+    # written, so that the sets' join sees how little is left
+    met = scratch.save(dealt.groupBy("key", "i", "j").applyInArrow(likely_members, dealt.schema), "met")
+    dealt = met.join(sets, "cid").select(*met.columns, "shingles")
+
     def across(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
         block, root = table.column("block").to_numpy(), table.column("root").to_numpy()
-        sig = _signatures(table.column("sig"))
         lists = pa.concat_arrays(table.column("shingles").chunks)
         # sorted as they were hashed, without signs
         flat, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(lists.value_lengths().to_numpy())
@@ -324,14 +361,9 @@ def minhash_components(
                 x = joins[x]
             return x
 
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        begin = band * rows_per_band
-        for p in left:
-            q = right[(root[right] != root[p]) & ((right > p) | (i != j))]
-            # a pair that meets in several buckets is compared in that of its first common band
-            same = sig[q, :begin].reshape(len(q), band, rows_per_band) == sig[p, :begin].reshape(band, rows_per_band)
-            q = q[~same.all(axis=2).any(axis=1)]
-            q = q[survivors(sig[q], np.broadcast_to(sig[p], (len(q), HASHES)), similarity, miss)]
+        left = np.flatnonzero(block == i)
+        right = left if i == j else np.flatnonzero(block == j)
+        for p, q in partners(left, right, root, _signatures(table.column("sig")), band):
             for k in q:
                 a, b = find(int(root[p])), find(int(root[k]))
                 if a == b:
@@ -346,7 +378,7 @@ def minhash_components(
     found = dealt.groupBy("key", "i", "j").applyInArrow(across, "a bigint, b bigint")
     last = STAR_ROUNDS + 1
     roots = joined(scratch.save(found.distinct(), f"links-{last}"), last)
-    scratch.drop("sets")
+    scratch.drop("sets", "met")
 
     heads = classes.select(F.col("cid").alias("root"), F.col("first_id").alias("component_id"))
     reached = roots.join(heads, "root").select("cid", "component_id", F.lit(True).alias("reached"))
