@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tillandsia.llm._common import Scratch, connected_components, shared_root
+from tillandsia.llm._common import Scratch, _with_least, connected_components, shared_root
 
 
 def fake(master, conf=None):
@@ -64,3 +64,16 @@ def test_components_equal_a_plain_version(spark):
     want = components_of([e for e in edges if e[0] != e[1]])
     assert got == want
     assert connected_components(df.limit(0), Scratch(spark, "t"), "c").collect() == []
+    # nodes with over 2n / 16 rows are dealt to several tasks; the result is the same
+    salted = connected_components(df, Scratch(spark, "t"), "s", salt_edges=1, hot_nodes=16).collect()
+    assert sorted((r.node, r.root) for r in salted) == sorted(want.items())
+
+
+def test_rows_of_a_hot_node_are_dealt_out(spark):
+    rows = [(1, i) for i in range(10, 1010)] + [(2, 5), (2, 7), (3, 9)]
+    df = spark.createDataFrame(rows, "u bigint, v bigint").repartition(4)
+    want = sorted((u, v, {1: 10, 2: 5, 3: 9}[u]) for u, v in rows)
+    for most in (None, 1, 100, 5000):
+        assert sorted(map(tuple, _with_least(df, most).collect())) == want
+    plan = _with_least(df, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt" in plan

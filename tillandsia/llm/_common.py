@@ -12,6 +12,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Edges from which on components deal out hot nodes, and how many nodes can count as hot.
+SALT_EDGES, HOT_NODES = 1 << 17, 4096
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
@@ -104,14 +107,35 @@ def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
     return np.unique(acc)
 
 
-def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def _with_least(rows: DataFrame, most: int | None) -> DataFrame:
+    """``rows(u, v)`` with ``m``, the least ``v`` of their ``u``.
+
+    Where ``most`` is given, the rows of a ``u`` with more than that are dealt
+    to several tasks. Which nodes those are is broadcast, so the caller bounds
+    how many there can be.
+    """
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("d"))
+    if most is None:
+        return rows.join(least.select("u", "m"), "u")
+    ways = F.ceil(F.col("d") / most).cast("int")
+    hot = least.where(F.col("d") > most).select("u", ways.alias("ways"))
+    salt = F.coalesce(F.pmod(F.xxhash64("v"), F.col("ways")), F.lit(0)).cast("int")
+    dealt = rows.join(F.broadcast(hot), "u", "left").select("u", "v", salt.alias("salt"))
+    least = least.select("u", "m", F.explode(F.sequence(F.lit(0), ways - 1)).alias("salt"))
+    return dealt.join(least, ["u", "salt"]).select("u", "v", "m")
+
+
+def connected_components(
+    edges: DataFrame, scratch: Scratch, name: str, salt_edges: int = SALT_EDGES, hot_nodes: int = HOT_NODES
+) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; root is the smallest reachable node.
 
     Alternates large-star and small-star steps: each node links its larger
     neighbours, then its smaller ones, to the smallest it knows, until the
-    edges form stars. Each minimum is aggregated map-side and joined back, so
-    a node with very many neighbours never meets in one task unsplit. Each
-    round is written to the shared folder. An empty edge table gives no rows.
+    edges form stars. Each minimum is aggregated map-side and joined back;
+    from ``salt_edges`` edges on, at most ``hot_nodes`` nodes with the most
+    edges have theirs dealt to several tasks in that join. Each round is
+    written to the shared folder. An empty edge table gives no rows.
     """
     u, v = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     stars = scratch.save(
@@ -128,16 +152,16 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
                 stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
         before, i = fingerprint, i + 1
+        # both steps join at most 2n rows, so at most hot_nodes nodes have over 2n / hot_nodes of them
+        most = -(-2 * fingerprint["n"] // hot_nodes) if fingerprint["n"] >= salt_edges else None
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
-            both.where("v > u")
-            .join(least, "u")
+            _with_least(both, most)
+            .where("v > u")
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
             .distinct()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = _with_least(large, most)
         small = (
             small.select("u", F.col("m").alias("v"))
             .unionByName(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
