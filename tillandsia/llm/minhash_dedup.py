@@ -39,7 +39,7 @@ BAND_MISS, MISS = 1e-4, 1e-6
 #: Rounds in which buckets compare their members with one centre.
 STAR_ROUNDS = 4
 #: Members of a block whose full sets meet in a task, and how many such blocks' signatures do.
-BLOCK_ROWS, WIDE = 128, 16
+BLOCK_ROWS, WIDE = 128, 8
 #: Multipliers of the signature's hash functions.
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -92,11 +92,19 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def survivors(a: np.ndarray, b: np.ndarray, similarity: float, miss: float) -> np.ndarray:
-    """Indices of the rows whose signatures in ``a`` and ``b`` stay likely enough to be similar."""
-    left, matches, done = np.arange(len(a)), np.zeros(len(a), np.int64), 0
+def survivors(
+    a: np.ndarray, b: np.ndarray, similarity: float, miss: float, rows: np.ndarray | None = None
+) -> np.ndarray:
+    """Indices of the rows of ``a`` whose signatures stay likely enough to be similar to those of ``b``.
+
+    ``b`` has a row for each of ``a``, or is one signature for all. ``rows``:
+    the only ones compared, all if not given.
+    """
+    left = np.arange(len(a)) if rows is None else rows
+    matches, done = np.zeros(len(left), np.int64), 0
     for n, least in least_matches(similarity, miss):
-        matches = matches + (a[left, done:n] == b[left, done:n]).sum(axis=1)
+        other = b[left, done:n] if b.ndim == 2 else b[done:n]
+        matches = matches + (a[left, done:n] == other).sum(axis=1)
         keep = matches >= least
         left, matches, done = left[keep], matches[keep], n
     return left
@@ -317,7 +325,7 @@ def minhash_components(
         begin, both_ways = band * rows_per_band, left is not right
         for p in left:
             q = right[(root[right] != root[p]) & ((right > p) | both_ways)]
-            q = q[survivors(sig[q], np.broadcast_to(sig[p], (len(q), HASHES)), similarity, miss)]
+            q = survivors(sig, sig[p], similarity, miss, q)
             # a pair that meets in several buckets is compared in that of its first common band
             same = sig[q, :begin].reshape(len(q), band, rows_per_band) == sig[p, :begin].reshape(band, rows_per_band)
             q = q[~same.all(axis=2).any(axis=1)]
