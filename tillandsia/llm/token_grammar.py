@@ -52,6 +52,8 @@ MAGIC = b"REPAIR01"
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SEGMENTS = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
 _SLOT_BITS, _MIX = 17, np.uint64(0x9E3779B97F4A7C15)
+#: The key of neighbours that lie in two documents; symbols stay below 32 bits.
+_APART = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class _Numbers(dict):
@@ -178,17 +180,27 @@ class Grammar:
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The tokens that ``symbols`` stand for, one level of rules at a time."""
-        while True:
-            inner = symbols >= self.first
-            if not inner.any():
-                return symbols.astype(np.uint32)
-            place = np.arange(len(symbols)) + np.cumsum(inner) - inner
-            out = np.empty(len(symbols) + int(inner.sum()), np.int64)
-            out[place] = symbols
-            pairs = self.rules[symbols[inner] - self.first]
-            out[place[inner]], out[place[inner] + 1] = pairs[:, 0], pairs[:, 1]
-            symbols = out
+        """The tokens that ``symbols`` stand for, copied from those of each different nonterminal."""
+        # each different nonterminal one level of rules at a time, then all symbols from one table
+        inner = symbols >= self.first
+        rule, plain = symbols[inner] - self.first, symbols[~inner]
+        used = np.flatnonzero(np.bincount(rule, minlength=1))
+        level = used + self.first
+        while (more := level >= self.first).any():
+            place = np.arange(len(level)) + np.cumsum(more) - more
+            longer = np.empty(len(level) + int(more.sum()), np.int64)
+            longer[place] = level
+            pairs = self.rules[level[more] - self.first]
+            longer[place[more]], longer[place[more] + 1] = pairs[:, 0], pairs[:, 1]
+            level = longer
+        start = np.zeros(len(self.lengths), np.int64)
+        start[used] = np.cumsum(self.lengths[used]) - self.lengths[used]
+        begin, size = np.empty(len(symbols), np.int64), np.ones(len(symbols), np.int64)
+        begin[inner], size[inner] = start[rule], self.lengths[rule]
+        begin[~inner] = len(level) + np.arange(len(plain))
+        ends = np.cumsum(size)
+        table = np.concatenate([level, plain]).astype(np.uint32)
+        return table[np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
     def tokens(self, begin: int, end: int) -> np.ndarray:
         """Tokens ``begin`` to ``end``, expanding only the symbols that hold them."""
@@ -205,46 +217,56 @@ def _chosen_pairs(key: np.ndarray, inside: np.ndarray, frequent: int) -> tuple[n
     ones (a a a) every other from the left.
     """
     none = np.empty(0, np.int64)
-    ordered = np.sort(key[inside])
+    key = np.where(inside, key, _APART)
+    ordered = np.sort(key)
+    ordered = ordered[: np.searchsorted(ordered, _APART)]
     begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else none
     count = np.diff(np.r_[begin, len(ordered)])
     often = np.flatnonzero(count >= frequent)
     best = often[np.argsort(-count[often], kind="stable")[:RULES]]
     pairs = ordered[begin[best]]
-    if not len(pairs):
+    n = len(pairs)
+    if not n:
         return none, none, pairs
     # a table of slots finds a pair's rank; of pairs that share a slot the most frequent one has it
-    table, ranks = np.zeros(1 << _SLOT_BITS, np.uint64), np.full(1 << _SLOT_BITS, len(pairs), np.int32)
-    slots = (pairs * _MIX >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-    table[slots[::-1]], ranks[slots[::-1]] = pairs[::-1], np.arange(len(pairs), dtype=np.int32)[::-1]
-    slot = (key * _MIX >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-    rank = np.where(inside & (table[slot] == key), ranks[slot], len(pairs)).astype(np.int32)
-    run = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])
-    value = rank[run]
-    least = (value < len(pairs)) & (np.r_[len(pairs), value[:-1]] > value) & (np.r_[value[1:], len(pairs)] > value)
-    size = np.diff(np.r_[run, len(rank)])[least]
-    run = run[least]
-    taken = (size + 1) // 2
-    at = np.repeat(run, taken) + 2 * (np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken))
-    return at, rank[at].astype(np.int64), pairs
+    ranks = np.full(1 << _SLOT_BITS, n, np.int32)
+    slots = (pairs * _MIX >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
+    ranks[slots[::-1]] = np.arange(n, dtype=np.int32)[::-1]
+    # a pair of no rank, before the first place and after the last one too
+    rank = np.full(len(key) + 2, n, np.int32)
+    here, before, after = rank[1:-1], rank[:-2], rank[2:]
+    here[:] = ranks[(key * _MIX >> np.uint64(64 - _SLOT_BITS)).view(np.int64)]
+    here[np.append(pairs, _APART)[here] != key] = n
+    at = np.flatnonzero((here < before) & (here < after))
+    same = np.flatnonzero((here == after) & (here < n))
+    if len(same):
+        opens = np.r_[True, np.diff(same) > 1]
+        run, size = same[opens], np.diff(np.r_[np.flatnonzero(opens), len(same)]) + 1
+        least = (before[run] > here[run]) & (after[run + size - 1] > here[run])
+        run, taken = run[least], (size[least] + 1) // 2
+        more = np.repeat(run, taken) + 2 * (np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken))
+        at = np.sort(np.concatenate([at, more]))
+    return at, here[at].astype(np.int64), pairs
 
 
 def compress(ids: np.ndarray, ends: np.ndarray) -> Grammar:
     """The grammar of ``ids``; no nonterminal holds tokens on both sides of a place in ``ends`` (after the end)."""
     first = int(ids.max()) + 1 if len(ids) else 0
     symbols = ids.astype(np.uint64)
-    last = np.zeros(len(ids), bool)
-    last[ends[ends > 0] - 1] = True
+    last = ends[ends > 0] - 1
     rules, lengths = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
     made = 0
     for _ in range(ROUNDS):
         if len(symbols) < 2:
             break
-        at, rule, pairs = _chosen_pairs(symbols[:-1] << np.uint64(32) | symbols[1:], ~last[:-1], FREQUENT)
+        inside = np.ones(len(symbols), bool)
+        inside[last] = False
+        at, rule, pairs = _chosen_pairs(symbols[:-1] << np.uint64(32) | symbols[1:], inside[:-1], FREQUENT)
         # a rule that overlaps left with few uses is not worth its place
         uses = np.bincount(rule, minlength=len(pairs))
         worth = uses >= 4
-        at, rule = at[worth[rule]], rule[worth[rule]]
+        if not worth.all():
+            at, rule = at[worth[rule]], rule[worth[rule]]
         if not len(at):
             break
         number = np.cumsum(worth) - 1
@@ -254,11 +276,10 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> Grammar:
         lengths.append(sum(np.where(s < first, 1, known[np.maximum(s - first, 0)] if made else 1) for s in sides.T))
         rules.append(sides)
         symbols[at] = (first + made + number[rule]).astype(np.uint64)
-        last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         gain = len(at) / len(symbols)
-        symbols, last = symbols[keep], last[keep]
+        symbols, last = symbols[keep], last - np.searchsorted(at + 1, last, side="right")
         made += len(pairs)
         if gain < LEAST_GAIN:
             break
