@@ -13,6 +13,7 @@ from conftest import SF_SMALL
 from llm_fixtures import nothing, tricky  # noqa: F401
 from pyspark.sql import functions as F
 
+from tillandsia.llm import embedding_dedup as E
 from tillandsia.llm._common import Scratch, connected_components
 from tillandsia.llm.embedding_dedup import embedding_components
 from tillandsia.llm.exact_dedup import content_hash, exact_dedup, exact_groups, grace
@@ -309,3 +310,46 @@ def test_vectors_of_many_lengths(spark):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     assert got == {i: (links[i], find(i)) for i in links} and sum(links.values()) > 200
+
+
+@pytest.mark.parametrize("dims, spread", [(1, 0.5), (3, 0.2), (64, 0.02), (64, 0.05), (65, 1.0), (200, 0.3)])
+def test_leading_directions_leave_every_link(monkeypatch, dims, spread):
+    """Tight and loose clusters: few pairs of a tile left, all of them, and some."""
+    monkeypatch.setattr(E, "TILE", 70)
+    rng = np.random.default_rng(dims)
+    heads = rng.normal(size=(6, dims))
+    x = np.concatenate([heads[rng.integers(0, 6, 300)] + rng.normal(size=(300, dims)) * spread, rng.normal(size=(99, dims))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = x[::2], x[1::2]
+    want = set(zip(*(at.tolist() for at in np.nonzero(a @ b.T >= 0.95))))
+    # any orthonormal columns will do, however few vectors they were made from
+    for axes in (None, E.leading_directions(x), E.leading_directions(x[:2]), np.eye(dims)[:, :1]):
+        got = [(int(i), int(j)) for left, right in E.linked_pairs(a, b, 0.95, axes) for i, j in zip(left, right)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_places_bring_each_pair_of_rows_together():
+    rng = np.random.default_rng(6)
+    home = rng.integers(0, 4, 120)
+    visits = (rng.random((120, 4)) < 0.5) & (np.arange(4) > home[:, None])
+    visits[np.arange(120), home] = True
+    blocks = np.array([[1, 1], [2, 3], [1, 4], [3, 1]])
+    first = np.r_[0, np.cumsum(blocks[:, 0] * blocks[:, 1])]
+    row, block, role = E.places_of(home, visits, rng.integers(0, 1 << 20, 120), blocks, first)
+    met = Counter()
+    for k in range(first[-1]):
+        here = [(i, r) for i, r in zip(row[block == k].tolist(), role[block == k].tolist())]
+        met.update((i, j) for i, r in here if r != E.RESIDENT for j, q in here if q == E.RESIDENT)
+    assert met == Counter((i, j) for i in range(120) for j in range(120) if visits[i, home[j]])
+
+
+def test_embeddings_held_as_floats(spark):
+    """Floats are moved as floats and compared in double precision, links at the threshold's edge included."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(40, 24))
+    x = np.concatenate([x + rng.normal(size=x.shape) * s for s in (0.0, 0.15, 0.2, 0.25, 0.3)]).astype(np.float32)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(500, [0.0] * 24), (501, None), (502, [-0.0] * 23 + [1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    got = Counter(map(tuple, embedding_components(df, 0.95, block_rows=64).collect()))
+    assert got == embedding_truth(rows, 0.95)
+    assert sum(n * c for (_, n, _, _), c in got.items()) > 100
