@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -204,3 +205,26 @@ def test_bitmaps_never_miss(spark):
             hits += bool(bitmap.has(other)[0])
         assert bits < 22 or hits < 30
     assert not M.bitmap_of(df.limit(0), 8).has(key_of("en", "a")).any()
+
+
+def test_subtrees_from_many_small_parts(monkeypatch):
+    """Bitmaps arrive in tasks as they left; parts with dictionaries of their own give the counts of all texts."""
+    for name, value in (("HELD_HASHES", 3), ("BATCH_WORDS", 40), ("SLICE_ROWS", 2)):
+        monkeypatch.setattr(M, name, value)
+    rng = np.random.default_rng(8)
+    texts = [" ".join("w%d" % w for w in rng.integers(0, 6, n)) for n in (0, 1, 90, 7, 300, 2, 33)]
+    data = rng.integers(0, 256, 1 << 10).astype(np.uint8)
+    some = pickle.loads(pickle.dumps(M.Bitmap(data, 13)))
+    assert some.bits == 13 and np.array_equal(some.data, data)
+    full = pickle.loads(pickle.dumps(M.Bitmap(np.full(1 << 10, 255, np.uint8), 13)))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": [t.encode() for t in texts]})
+    parts = pa.Table.from_batches(list(M._deal(2, [full, full], [], 1, 3)(iter([batch]))))
+    assert parts.num_rows > 2
+    grown = M._grow(4)(parts)
+    want = Counter()
+    for t in texts:
+        words = t.encode().split()
+        for n in (2, 3):
+            want.update(tuple(M.word_hashes(words[i : i + n], 2).tolist()) for i in range(len(words) - n + 1))
+    got = {tuple(r["words"]): r["f"] for r in grown.to_pylist()}
+    assert got == {k: n for k, n in want.items() if n >= 4} and got

@@ -42,7 +42,9 @@ GROUP_SUFFIXES = 1 << 20
 #: tables of a part are added at a time.
 BITMAP_BITS, PAIR_BITS, PAIR_PARTS, FAN_IN = 26, 27, 10, 128
 #: Words of a batch in a map task, different words whose counts it holds, and bytes of text it splits at a time.
-BATCH_WORDS, COUNT_WORDS, SPLIT_BYTES = 1 << 19, 150_000, 1 << 20
+BATCH_WORDS, COUNT_WORDS, SPLIT_BYTES = 1 << 18, 150_000, 1 << 20
+#: Rows of a batch that are Python objects at a time, and hashes of groups' dictionaries held before they are merged.
+SLICE_ROWS, HELD_HASHES = 256, 1 << 19
 #: Parts in which each language's best phrases are found first.
 RANK_PARTS = 64
 
@@ -64,6 +66,13 @@ def word_chunks(text: bytes) -> Iterator[list[bytes]]:
         begin = end
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Languages and texts, a slice of a batch at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, SLICE_ROWS):
+            yield from zip(*(c.to_pylist() for c in batch.slice(a, SLICE_ROWS).columns))
+
+
 def word_hashes(words: list[bytes], seed: int) -> np.ndarray:
     """Signed 64-bit hashes."""
     return np.array([xxhash.xxh3_64_intdigest(w, seed) for w in words], np.uint64).view(np.int64)
@@ -95,12 +104,11 @@ def _counts(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 yield pa.RecordBatch.from_arrays(total, names=["lang", "h", "word", "n"])
             held.clear()
 
-        for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for words in word_chunks(text):
-                    held.setdefault(lang, Counter()).update(words)
-                    if sum(map(len, held.values())) > COUNT_WORDS:
-                        yield from flush()
+        for lang, text in _rows(batches):
+            for words in word_chunks(text):
+                held.setdefault(lang, Counter()).update(words)
+                if sum(map(len, held.values())) > COUNT_WORDS:
+                    yield from flush()
         yield from flush()
 
     return run
@@ -112,11 +120,23 @@ class Bitmap:
     def __init__(self, data: np.ndarray, bits: int) -> None:
         self.data, self.bits = data, bits
 
+    def __reduce__(self) -> tuple:
+        # tasks get it compressed, which is short while few bits are set
+        import zstandard
+
+        return _bitmap_from, (zstandard.compress(self.data.tobytes(), 1), self.bits)
+
     def has(self, key: np.ndarray) -> np.ndarray:
         cell = _cells(key, self.bits)
         return (self.data[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def _bitmap_from(packed: bytes, bits: int) -> Bitmap:
+    import zstandard
+
+    return Bitmap(np.frombuffer(zstandard.decompress(packed), np.uint8), bits)
+
+
 def _cells(key: np.ndarray, bits: int) -> np.ndarray:
     return (key >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -225,23 +245,22 @@ def _suffix_batches(
         lang = np.repeat(*np.array(runs, np.int32).reshape(-1, 2).T)
         return joined, words, lang, _Suffixes(joined.copy(), words, lang, list(langs), seed, filters, depth, skip)
 
-    for batch in batches:
-        for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-            number = langs.setdefault(lang, len(langs))
-            for chunk in word_chunks(text):
-                ids.append(np.fromiter(map(numbers.__getitem__, chunk), np.int32, len(chunk)))
-                runs.append((number, len(chunk)))
-                size += len(chunk)
-                if size >= BATCH_WORDS:
-                    # the last words' suffixes may go on: they come again with the next ones
-                    joined, words, owner, found = made(depth - 1)
-                    yield found
-                    numbers, again = _Numbers(), [words[i] for i in joined[1 - depth :]]
-                    ids, runs = [np.array([numbers[w] for w in again], np.int32)], [(i, 1) for i in owner[1 - depth :].tolist()]
-                    size = len(again)
-            ids.append(np.zeros(1, np.int32))
-            runs.append((number, 1))
-            size += 1
+    for lang, text in _rows(batches):
+        number = langs.setdefault(lang, len(langs))
+        for chunk in word_chunks(text):
+            ids.append(np.fromiter(map(numbers.__getitem__, chunk), np.int32, len(chunk)))
+            runs.append((number, len(chunk)))
+            size += len(chunk)
+            if size >= BATCH_WORDS:
+                # the last words' suffixes may go on: they come again with the next ones
+                joined, words, owner, found = made(depth - 1)
+                yield found
+                numbers, again = _Numbers(), [words[i] for i in joined[1 - depth :]]
+                ids, runs = [np.array([numbers[w] for w in again], np.int32)], [(i, 1) for i in owner[1 - depth :].tolist()]
+                size = len(again)
+        ids.append(np.zeros(1, np.int32))
+        runs.append((number, 1))
+        size += 1
     if ids:
         yield made(0)[3]
 
@@ -431,13 +450,22 @@ def subtree_nodes(
 
 def _grow(least: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        blobs = [_unpack(b.as_py()) for b in table.column("blob")]
-        known, inverse = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
-        ends = np.cumsum([0] + [len(b[0]) for b in blobs])
-        words = np.concatenate(
-            [np.concatenate([[0], inverse[a:e] + 1]).astype(np.int32)[b[1]] for b, a, e in zip(blobs, ends, ends[1:])], axis=1
-        )
-        counts, prefix = (np.concatenate([b[i] for b in blobs]) for i in (2, 3))
+        # one part is unpacked at a time: first for its dictionary, then to be placed
+        blobs = table.column("blob")
+        held, hashes, ends, depth = [], 0, [0], 0
+        for blob in blobs:
+            used, local, _, _ = _unpack(blob.as_py())
+            held.append(used.copy())
+            hashes += len(used)
+            if hashes > HELD_HASHES:
+                held, hashes = [np.unique(np.concatenate(held))], 0
+            depth = len(local)
+            ends.append(ends[-1] + local.shape[1])
+        known = np.unique(np.concatenate(held))
+        words, counts, prefix = np.empty((depth, ends[-1]), np.int32), np.empty(ends[-1], np.int64), np.empty(ends[-1], np.uint8)
+        for blob, a, e in zip(blobs, ends, ends[1:]):
+            used, local, counts[a:e], prefix[a:e] = _unpack(blob.as_py())
+            words[:, a:e] = np.concatenate([[0], np.searchsorted(known, used) + 1]).astype(np.int32)[local]
         lists, totals = [pa.array([], pa.list_(pa.int64()))], [np.empty(0, np.int64)]
         for found, total in subtree_nodes(words, counts, prefix, least):
             offsets = np.arange(0, found.size + 1, found.shape[1], dtype=np.int32)
